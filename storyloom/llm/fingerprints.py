@@ -41,23 +41,23 @@ def _least(r: Column, ln_c: Column, b: Column, ln_w: Column) -> Column:
     return ln_c - r * (F.floor(ln_w / r + b) - b) - r
 
 
-def signatures(words: DataFrame, keys: list[str], sides: list[str], samples: int) -> DataFrame:
-    """words: keys, h (the term's hash), one count column per side (0: not in that text) -> keys, lane, an array per side.
+def signatures(words: DataFrame, keys: list[str], samples: int) -> DataFrame:
+    """words: keys, h (the term's hash), w (its count; 0: none) -> keys, lane, least: the LANE minima of that lane.
 
-    An array holds the LANE minima of that lane.  Rows must be dealt by a subset of keys already; no shuffle is added.
+    Rows must be dealt by a subset of keys already; no shuffle is added.
     """
     spark = words.sparkSession
     lanes = F.explode(F.sequence(F.lit(0), F.lit(samples // LANE - 1))).alias("lane")
-    weights = [F.when(F.col(s) > 0, F.log(F.col(s).cast("double"))).alias(s) for s in sides]
-    drawn = words.select(*keys, "h", *weights, F.pmod("h", F.lit(1)).alias("key")).join(F.broadcast(gamma_quantiles(spark)), "key")
-    drawn = drawn.select(*keys, "h", *sides, "r_of", "ln_c_of", lanes)
+    ln_w = F.when(F.col("w") > 0, F.log(F.col("w").cast("double"))).alias("ln_w")
+    drawn = words.select(*keys, "h", ln_w, F.pmod("h", F.lit(1)).alias("key")).join(F.broadcast(gamma_quantiles(spark)), "key")
+    drawn = drawn.select(*keys, "h", "ln_w", "r_of", "ln_c_of", lanes)
     hashes = [F.xxhash64("h", F.col("lane") * LANE + j).alias(f"x{j}") for j in range(LANE)]
-    drawn = drawn.select(*keys, "lane", *sides, "r_of", "ln_c_of", *hashes)
+    drawn = drawn.select(*keys, "lane", "ln_w", "r_of", "ln_c_of", *hashes)
     cell = lambda j, at: F.shiftrightunsigned(f"x{j}", at).bitwiseAND(F.lit(CELLS - 1)).cast("int")
     draws = [c for j in range(LANE) for c in (F.get("r_of", cell(j, 51)).alias(f"r{j}"), F.get("ln_c_of", cell(j, 38)).alias(f"c{j}"), (F.col(f"x{j}").bitwiseAND(F.lit((1 << 38) - 1)) * F.lit(2.0**-38)).alias(f"b{j}"))]
-    drawn = drawn.select(*keys, "lane", *sides, *draws)
-    least = [F.min(_least(F.col(f"r{j}"), F.col(f"c{j}"), F.col(f"b{j}"), F.col(s))).alias(f"{s}{j}") for s in sides for j in range(LANE)]
-    return drawn.groupBy(*keys, "lane").agg(*least).select(*keys, "lane", *[F.array(*[F.col(f"{s}{j}") for j in range(LANE)]).alias(s) for s in sides])
+    drawn = drawn.select(*keys, "lane", "ln_w", *draws)
+    least = [F.min(_least(F.col(f"r{j}"), F.col(f"c{j}"), F.col(f"b{j}"), F.col("ln_w"))).alias(f"a{j}") for j in range(LANE)]
+    return drawn.groupBy(*keys, "lane").agg(*least).select(*keys, "lane", F.array(*[F.col(f"a{j}") for j in range(LANE)]).alias("least"))
 
 
 def _hex(minima: Column) -> Column:
@@ -85,9 +85,9 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     term = F.explode(F.concat(F.array(F.lit(None).cast("string")), F.filter(F.split("text", SPACES), lambda w: w != "")))
     words = rows.select("doc_id", "uid", term.alias("term")).select("doc_id", "uid", F.xxhash64("term").alias("h"), F.col("term").isNotNull().cast("int").alias("w"))
     words = words.groupBy("doc_id", "uid", "h").agg(F.sum("w").alias("w"))
-    lanes = signatures(words, ["doc_id", "uid"], ["w"], samples)
-    whole = lanes.groupBy("doc_id", "uid").agg(F.sort_array(F.collect_list(F.struct("lane", "w"))).alias("l"))
-    return whole.select("doc_id", _hex(F.flatten(F.col("l.w"))).alias("fingerprint"))
+    lanes = signatures(words, ["doc_id", "uid"], samples)
+    whole = lanes.groupBy("doc_id", "uid").agg(F.sort_array(F.collect_list(F.struct("lane", "least"))).alias("l"))
+    return whole.select("doc_id", _hex(F.flatten(F.col("l.least"))).alias("fingerprint"))
 
 
 def successors(docs: DataFrame) -> DataFrame:
@@ -143,15 +143,21 @@ def edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     words = rows.select(*keys, F.explode(F.concat(own, mark("common", 1, 1), mark("tail", 1, 0), mark("new_tail", 0, 1))).alias("x"))
     words = words.select(*keys, F.xxhash64("x.term").alias("h"), F.col("x.b").alias("b"), F.col("x.e").alias("e"))
     words = words.groupBy(*keys, "h").agg(F.sum("b").alias("b"), F.sum("e").alias("e"))
-    lanes = signatures(words, keys, ["b", "e"], samples)
-    whole = lanes.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("lane", "b", "e"))).alias("l"))
-    whole = whole.select(
-        "doc_id",
-        "n_chars",
-        F.lower(F.hex("edited")).alias("edited_sha256"),
-        _hex(F.flatten(F.col("l.b"))).alias("fingerprint"),
-        _hex(F.flatten(F.col("l.e"))).alias("edited_fingerprint"),
-    )
+    # terms of one weight in both texts are drawn once (side 0), others for the text (1) and for its edit (2)
+    sides = F.when(F.col("b") == F.col("e"), F.array(F.struct(F.lit(0).alias("side"), F.col("b").alias("w"))))
+    sides = sides.otherwise(F.array(F.struct(F.lit(1).alias("side"), F.col("b").alias("w")), F.struct(F.lit(2).alias("side"), F.col("e").alias("w"))))
+    words = words.select(*keys, "h", F.explode(sides).alias("x")).select(*keys, "h", F.col("x.side").alias("side"), F.col("x.w").alias("w"))
+    lanes = signatures(words, [*keys, "side"], samples)
+    whole = lanes.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.col("lane") * 3 + F.col("side"), "least"))).alias("m"))
+
+    def joined(side: int) -> Column:
+        def lane(i: Column) -> Column:
+            common, own = F.try_element_at("m", (i * 3).cast("int")), F.try_element_at("m", (i * 3 + side).cast("int"))
+            return F.coalesce(F.zip_with(common, own, lambda x, y: F.least(x, y)), common, own)
+
+        return _hex(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(samples // LANE - 1)), lane)))
+
+    whole = whole.select("doc_id", "n_chars", F.lower(F.hex("edited")).alias("edited_sha256"), joined(1).alias("fingerprint"), joined(2).alias("edited_fingerprint"))
     whole = materialize(whole, "signatures")
     # the next text is the least of its doc_id's texts; for a doc_id held once it is the only one
     following = whole.groupBy("doc_id").agg(F.min("fingerprint").alias("next_fingerprint"))
