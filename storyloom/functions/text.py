@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 WORDS_PER_MINUTE = 200
 #: Unicode blocks that name a script.
@@ -72,7 +73,7 @@ def candidate_score(text: Column, boilerplate: str) -> Column:
     return n * (1 - F.least(4.0 * bad / F.greatest(n, F.lit(1)), F.lit(0.9)))
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(LongType())
 def simhash(text: pd.Series) -> pd.Series:
     """64-bit SimHash over ASCII-folded words, each occurrence a vote; no words give 0."""
     import hashlib

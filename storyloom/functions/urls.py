@@ -7,6 +7,7 @@ from urllib.parse import parse_qsl, urlencode
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Query parameters that only track, by name and by prefix.
 STRIP_PARAMS = (
@@ -59,7 +60,7 @@ def normalise_url(url: Column, collapse_scheme: bool = True, legacy: bool = Fals
     return F.when(u == "", "").otherwise(F.concat(scheme, F.lit("://"), host, path, F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalise_query(query: pd.Series) -> pd.Series:
     """A query string decoded, filtered, sorted and encoded anew."""
 
