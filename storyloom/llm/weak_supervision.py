@@ -21,16 +21,17 @@ GOOD, BAD, ABSTAIN = 1, -1, 0
 def rules() -> dict[str, Column]:
     """name -> vote, over the columns of text_counts."""
     per = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
-    vote = lambda bad, good: F.when(bad, BAD).when(good, GOOD).otherwise(ABSTAIN)
-    symbols, repeats, dups = per("n_symbols", "n_words"), per("n_repeat_words", "n_words"), per("n_dup_lines", "n_lines")
-    length, distinct, stops = per("word_chars", "n_words"), per("n_distinct", "n_words"), per("n_stops", "n_words")
+    vote = lambda bad, good=F.lit(False): F.when(bad, BAD).when(good, GOOD).otherwise(ABSTAIN)
+    symbols, marks, short, stops = per("n_symbols", "n_words"), per("n_symbols", "word_chars"), per("n_short", "n_words"), per("n_stops", "n_words")
+    many = F.col("n_words") >= 30
     return {
-        "symbols": vote(symbols > 0.2, symbols < 0.02),
-        "repeats": vote(repeats > 0.2, repeats < 0.05),
-        "dup_lines": vote(dups > 0.3, dups < 0.1),
-        "word_length": vote((length < 2) | (length > 12), (length > 3) & (length < 9)),
-        "variety": vote((distinct < 0.2) & (F.col("n_words") > 50), distinct > 0.35),
-        "sentences": vote(stops < 0.005, stops > 0.02),
+        "symbols": vote(symbols > 0.1, symbols < 0.01),
+        "symbol_share": vote(marks > 0.02, marks < 0.002),
+        "short_words": vote(many & (short < 0.1), (short > 0.2) & (short < 0.6)),
+        "sentences": vote(many & (stops < 0.005), (stops > 0.02) & (stops < 0.4)),
+        # freedom from repeats is no merit: these abstain instead of praising
+        "repeats": vote(per("n_repeat_words", "n_words") > 0.2),
+        "dup_lines": vote(per("n_dup_lines", "n_lines") > 0.3),
     }
 
 
