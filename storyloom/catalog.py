@@ -1,6 +1,6 @@
 """All registered queries: importing this module imports every operator of the reference's inventory."""
 
-from storyloom.operators import native, relational  # noqa: F401
+from storyloom.operators import native, relational, relational_more  # noqa: F401
 from storyloom.plans.registry import FLAGSHIP, QUERIES, SQL
 
 __all__ = ["FLAGSHIP", "QUERIES", "SQL"]

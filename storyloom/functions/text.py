@@ -22,8 +22,7 @@ _LETTER = r"\p{L}\p{Mn}\p{Mc}"
 
 
 def word_count(text: Column) -> Column:
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+$", "")
-    return F.when(t == "", 0).otherwise(F.size(F.split(t, r"(?U)\s+")))
+    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"(?U)\s+"), lambda w: w != ""))
 
 
 def reading_minutes(words: Column) -> Column:
