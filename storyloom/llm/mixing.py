@@ -20,8 +20,8 @@ ROUNDS = 6
 
 def n_tokens(text: Column) -> Column:
     """Words of a text, at least 1, so that no document weighs nothing."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    return F.greatest(F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, SPACES))), F.lit(1)).cast("bigint")
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
+    return F.greatest(F.size(words), F.lit(1)).cast("bigint")
 
 
 def topic(text: Column, words: Column) -> Column:
@@ -49,14 +49,14 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
 
     Values without a target keep no weight.  A fixed number of rounds, each fitting every marginal once.
     """
-    total = cells.agg(F.sum("tokens").cast("double").alias("total"))
-    out = cells.crossJoin(F.broadcast(total)).withColumn("weight", F.col("tokens").cast("double"))
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    out = cells.withColumn("weight", F.col("tokens").cast("double"))
     for dim, target in targets.items():
         out = out.join(F.broadcast(target.withColumnRenamed("target", f"{dim}_target")), dim, "left")
     for _ in range(rounds):
         for dim in targets:
             held = F.sum("weight").over(W.partitionBy(dim))
-            out = out.withColumn("weight", F.when(held > 0, F.col("weight") * F.coalesce(F.col(f"{dim}_target"), F.lit(0.0)) * F.col("total") / held).otherwise(F.lit(0.0)))
+            out = out.withColumn("weight", F.when(held > 0, F.col("weight") * F.coalesce(F.col(f"{dim}_target"), F.lit(0.0)) * F.lit(total) / held).otherwise(F.lit(0.0)))
         out = materialize(out, "raked")
     return out.select(*targets, "tokens", "weight")
 
