@@ -17,4 +17,31 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_
 FROM marked GROUP BY doc_id
 """
 
-SQL = {"op10_line_dedup": _OP10}
+#: op5: the same digests from the rows themselves.  A turn takes 10 code points of marks, and an escape one more.
+_OP5 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(10 + length(role || text) + length(regexp_replace(role || text, '[^\\<\[\]]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+#: op8: all pairs that share a shingle, exact similarity, smallest doc_id reachable.
+_OP8 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+l AS (SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS gs FROM w),
+n AS (SELECT doc_id, CAST(len(gs) AS BIGINT) AS n FROM l),
+s AS (SELECT doc_id, unnest(gs) AS g FROM l),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS x FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT p.a, p.b FROM p JOIN n i ON i.doc_id = p.a JOIN n j ON j.doc_id = p.b WHERE 100 * x >= 80 * (i.n + j.n - x)),
+d AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT a AS v, b AS u FROM d UNION SELECT r.v, d.b FROM reach r JOIN d ON d.a = r.u),
+c AS (SELECT v, least(v, min(u)) AS low FROM reach GROUP BY v)
+SELECT n.doc_id, n.n AS n_shingles, coalesce(c.low, n.doc_id) AS component_id, n.doc_id = coalesce(c.low, n.doc_id) AS kept FROM n LEFT JOIN c ON c.v = n.doc_id
+"""
+
+SQL = {"op5_chat": _OP5, "op8_near_duplicates": _OP8, "op10_line_dedup": _OP10}
