@@ -11,15 +11,18 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import SPACES, materialize, partitions
 
-SAMPLES = 32
+SAMPLES = 48
 #: Samples drawn by one row: the generated code of a row stays small enough to be compiled.
 LANE = 8
 #: Cells of the quantile table that Gamma(2, 1) is drawn from.
 CELLS = 8192
+#: Stands for a missing doc_id.
+_NO_ID = -(1 << 63)
 
 
 def gamma_quantiles(spark: SparkSession) -> DataFrame:
@@ -67,11 +70,11 @@ def _hex(minima: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal samples; two fingerprints without samples are alike, one alone is like none."""
+    """Share of equal samples; two fingerprints without samples are alike, one alone is like none; null with null."""
     at = lambda x, i: F.substring(x, i * 4 + 1, F.lit(4))
     n = F.floor(F.length(a) / 4).cast("int")
     same = F.size(F.filter(F.sequence(F.lit(0), n - 1), lambda i: at(a, i) == at(b, i)))
-    return F.when((F.length(a) == 0) & (F.length(b) == 0), 1.0).when((F.length(a) == 0) | (F.length(b) == 0), 0.0).otherwise(same / n)
+    return F.when(a.isNull() | b.isNull(), F.lit(None)).when((F.length(a) == 0) & (F.length(b) == 0), 1.0).when((F.length(a) == 0) | (F.length(b) == 0), 0.0).otherwise(same / n)
 
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -99,13 +102,13 @@ def successors(docs: DataFrame) -> DataFrame:
     ids = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.length(F.coalesce("text", F.lit("")))).alias("n"))
     ids = ids.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id").withColumn("at", F.monotonically_increasing_id())
     ids = materialize(ids.select("doc_id", F.floor(F.col("n") / 4).cast("int").alias("need"), F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("off")), "order")
-    # one row per sorted partition
+    # one row per sorted partition: the rows before it
     starts = ids.groupBy("part").agg(F.count("*").alias("c"))
-    starts = starts.alias("p").join(starts.alias("q"), F.expr("q.part < p.part"), "left").groupBy("p.part").agg(F.coalesce(F.sum("q.c"), F.lit(0)).alias("start"))
-    total = ids.agg(F.count("*").alias("total"))
-    placed = ids.join(starts, "part").select("doc_id", "need", (F.col("start") + F.col("off")).alias("pos")).crossJoin(F.broadcast(total))
+    before = F.coalesce(F.sum("c").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = ids.join(starts.select("part", before.alias("start")), "part").select("doc_id", "need", (F.col("start") + F.col("off")).alias("pos"))
+    total = max(1, ids.count())
     after = placed.select(F.col("doc_id").alias("next_id"), F.col("pos").alias("after"))
-    return placed.withColumn("after", F.pmod(F.col("pos") + 1, F.col("total"))).join(after, "after").select("doc_id", "next_id", "need")
+    return placed.withColumn("after", F.pmod(F.col("pos") + 1, F.lit(total))).join(after, "after").select("doc_id", "next_id", "need")
 
 
 def edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -119,7 +122,8 @@ def edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     n_parts = partitions(spark)
     order = materialize(successors(docs), "successors")
     asked = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("previous_id"), "need")
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # ids without nulls keep Spark from filtering one use of the shuffled texts, so both uses share one shuffle
+    rows = docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartition(n_parts, "doc_id")
     heads = rows.join(asked, "doc_id").select(F.col("previous_id").alias("doc_id"), F.expr("substring(text, 1, need)").alias("head"))
     heads = heads.groupBy("doc_id").agg(F.min("head").alias("head"))  # one row each unless a doc_id repeats
@@ -128,7 +132,7 @@ def edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     cut = F.expr("substring(text, 1, n - q)")
     # whole words of the kept part count for both texts; what follows the last space differs
     rows = rows.withColumn("keep", cut).withColumn("fresh", F.expr("substring(coalesce(head, ''), 1, q)"))
-    rows = rows.withColumn("common", F.regexp_replace("keep", r"[^\x20\x09-\x0D]*+\z", ""))
+    rows = rows.withColumn("common", F.regexp_extract("keep", r"(?s)^.*[\x20\x09-\x0D]", 0))
     rows = rows.select(
         "doc_id", "uid", "common",
         F.expr("substring(text, length(common) + 1, n)").alias("tail"),
@@ -157,7 +161,7 @@ def edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
 
         return _hex(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(samples // LANE - 1)), lane)))
 
-    whole = whole.select("doc_id", "n_chars", F.lower(F.hex("edited")).alias("edited_sha256"), joined(1).alias("fingerprint"), joined(2).alias("edited_fingerprint"))
+    whole = whole.select(F.nullif("doc_id", F.lit(_NO_ID)).alias("doc_id"), "n_chars", F.lower(F.hex("edited")).alias("edited_sha256"), joined(1).alias("fingerprint"), joined(2).alias("edited_fingerprint"))
     whole = materialize(whole, "signatures")
     # the next text is the least of its doc_id's texts; for a doc_id held once it is the only one
     following = whole.groupBy("doc_id").agg(F.min("fingerprint").alias("next_fingerprint"))
