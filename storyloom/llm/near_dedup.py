@@ -3,15 +3,16 @@
 1. Every whole text becomes a set of 64-bit shingle hashes and the K smallest of them, its sketch.  Texts with
    equal sets form a class; only the class representative goes on.
 2. Inverted lists of retained values: value -> representatives.  The values of a sketch are ordered by (list
-   length, value), an order common to all.  Two sketches of s values that share at least s/2 share one among
-   their floor(s/2) + 1 first of that order, so only those are listed: very frequent values come last and are
+   length, value), an order common to all.  Two sketches of s values that share at least s/2 share two among
+   their floor(s/2) + 2 first of that order, so only those are listed: very frequent values come last and are
    listed only where a document has nothing rarer.  No list is capped.
-3. Short lists give all their pairs; a long list first gives a star around its smallest member.
+3. Short lists give all their pairs; a long list first gives a star around its smallest member of each size class.
 4. The union sketch (K smallest of both) estimates the similarity; below one half a pair cannot reach the
-   threshold, but for a chance under 1e-6 at exactly 0.8 (the sketch holds whole sets up to K shingles: no chance there).
+   threshold, but for a chance under 1e-6 at exactly 0.8 (none where both sketches hold their whole sets).
 5. Pairs left are confirmed on full sets, computed again from the whole texts.
-6. Long lists whose members are still in several components give the remaining pairs across components, but for
-   those that own shingles rule out: a shingle that no other such member has is in no intersection.
+6. Pairs that share long lists only, and are still in different components, share two long values: those of small
+   components are paired by two values at once, and documents that may belong to a large component are held
+   against all its members, block by block.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ GROUP = 256
 #: Components with at least so many documents in unfinished lists are held against others block by block.
 BIG = 64
 BLOCK = 512
+#: Ids of documents whose texts are fetched are broadcast up to so many (8 MB), and joined by a shuffle beyond.
+BROADCAST_IDS = 1_000_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
@@ -92,15 +95,15 @@ def sketches(docs: DataFrame, width: int, k: int = K) -> DataFrame:
 
 
 def inverted_lists(reps: DataFrame) -> DataFrame:
-    """(value, rep, n, prefix, size, leader): the values that a representative lists, all of them again as prefix."""
+    """(value, rep, n, size): the values that a representative lists and the lengths of their lists."""
     flat = reps.select("rep", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
     often = flat.groupBy("value").agg(F.count("*").alias("c")).filter("c > 1")
     shared = flat.join(often, "value").groupBy("rep", "n", "s").agg(F.sort_array(F.collect_list(F.struct("c", "value"))).alias("v"))
     # values that no other sketch retains come first in the order and can give no pair
-    room = F.expr("s div 2 + 1 - (s - size(v))").cast("int")
-    listed = shared.filter(room > 0).select("rep", "n", F.slice("v.value", F.lit(1), room).alias("prefix")).select("rep", "n", "prefix", F.explode("prefix").alias("value"))
+    room = F.expr("s div 2 + 2 - (s - size(v))").cast("int")
+    listed = shared.filter(room > 0).select("rep", "n", F.explode(F.slice("v.value", F.lit(1), room)).alias("value"))
     listed = materialize(listed, "listed")
-    size = listed.groupBy("value").agg(F.count("*").alias("size"), F.min("rep").alias("leader")).filter("size > 1")
+    size = listed.groupBy("value").agg(F.count("*").alias("size")).filter("size > 1")
     return listed.join(size, "value")
 
 
@@ -181,19 +184,31 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return rows.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def own_shingles(texts: DataFrame, width: int) -> DataFrame:
-    """(rep, own): how many shingles of each text no other of these texts has; texts without any give no row."""
+def _asking(placed: DataFrame, members: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """asks (b, y): documents that may be linked with a member of a large component y; homes (b, y, c): its members.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = ShingleHasher(width)
-        for b in batches:
-            for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                s = hasher(t).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), i)), pa.array(s)], names=["rep", "h"])
-
-    small_batches(texts.sparkSession)
-    held = texts.mapInArrow(run, "rep bigint, h bigint").groupBy("h").agg(F.count("*").alias("c"), F.min("rep").alias("rep"))
-    return held.filter("c = 1").groupBy("rep").agg(F.count("*").alias("own"))
+    The smaller component asks the larger.  Half of the asking sketch must be found among the values of y's sketches,
+    as the estimate demands of any single member.
+    """
+    homes = members.filter(F.col("c") >= BIG).select(F.col("rep").alias("b"), F.col("component").alias("y"), "c")
+    big = placed.join(homes.select(F.col("y").alias("component"), "c").distinct(), "component").select("value", F.col("component").alias("y"), F.col("c").alias("cy")).distinct()
+    asks = placed.join(big, "value").join(members.select("rep", "c"), "rep").filter("component <> y and struct(c, component) < struct(cy, y)")
+    asks = asks.select(F.col("rep").alias("b"), "y").distinct()
+    sketch = reps.select(F.col("rep").alias("b"), F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
+    theirs = homes.select("b", "y").join(sketch, "b").select("y", "value").distinct()
+    shared = asks.join(sketch, "b").join(theirs, ["y", "value"]).groupBy("b", "y", "s").agg(F.count("*").alias("hits"))
+    return shared.filter("2 * hits >= s").select("b", "y"), homes
+
+
+def _by_two_values(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components by the first two listed values that they share."""
+    at = "transform(sequence(0, size(values) - 2), i -> transform(slice(values, i + 2, size(values)), w -> struct(values[i] as v, w as w)))"
+    keyed = members.filter("size(values) > 1").select("rep", "n", "component", "values", F.explode(F.flatten(F.expr(at))).alias("k"))
+    keyed = keyed.select(F.struct("k.v", "k.w").alias("value"), "rep", "n", "component", "values")
+    a, b = _bucketed(keyed, "component", "values")
+    first = "slice(array_intersect(values_a, values_b), 1, 2) = array(a.value.v, a.value.w)"
+    fits = F.expr(f"a.value = b.value and a.lv = b.lv and a < b and component_a <> component_b and {_SIZES_FIT} and {first}")
+    return a.alias("a").join(b.alias("b"), fits).select("a", "b").distinct()
 
 
 def against_blocks(asks: DataFrame, homes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -284,31 +299,33 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     star = star.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     likely = materialize(estimated(pairs.unionByName(star).distinct(), reps, percent / 100), "likely")
 
-    def texts_of(found: DataFrame) -> DataFrame:
-        ids = found.select(F.col("a").alias("doc_id")).union(found.select("b")).distinct()
-        return materialize(text_bytes(docs).join(ids, "doc_id", "left_semi"), "texts")
+    def texts_of(ids: DataFrame) -> DataFrame:
+        """Whole texts of these doc_ids; the ids are broadcast only while they are few."""
+        ids = materialize(ids.distinct(), "ids")
+        few = ids.count() <= BROADCAST_IDS
+        return materialize(text_bytes(docs).join(F.broadcast(ids) if few else ids, "doc_id", "left_semi"), "texts")
+
+    def ends(found: DataFrame) -> DataFrame:
+        return found.select(F.col("a").alias("doc_id")).union(found.select("b"))
 
-    links = materialize(confirmed(likely, texts_of(likely), width, percent), "links")
+    links = materialize(confirmed(likely, texts_of(ends(likely)), width, percent), "links")
     edges = links.select(F.col("b").alias("u"), F.col("a").alias("v")).unionByName(shared_id)
     parts = materialize(connected_components(edges), "parts")
 
     # long lists across components: what the stars have not joined yet
     placed = long_lists.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     split = placed.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("value")
-    placed = materialize(placed.join(split, "value").select("value", "rep", "n", "prefix", "component"), "placed")
-    held = texts_of(placed.select(F.col("rep").alias("a"), F.col("rep").alias("b")))
-    sizes = placed.select("rep", "component").distinct().groupBy("component").agg(F.count("*").alias("c"))
-    placed = placed.join(own_shingles(held, width), "rep", "left").withColumn("m", F.col("n") - F.coalesce("own", F.lit(0))).join(sizes, "component")
-    big = placed.filter(F.col("c") >= BIG).select("value", F.col("component").alias("y"), F.col("c").alias("cy")).distinct()
-    asks = placed.join(big, "value").filter("component <> y and struct(c, component) < struct(cy, y)").select(F.col("rep").alias("b"), "y").distinct()
-    homes = placed.filter(F.col("c") >= BIG).select(F.col("rep").alias("b"), F.col("component").alias("y"), "c").distinct()
-    more = materialize(against_blocks(asks, homes, held, width, percent), "links")
-    a, b = _bucketed(placed.filter(F.col("c") < BIG), "component", "m", "prefix")
-    can = f"{100 + percent} * least(m_a, m_b) >= {percent} * (na + nb) and array_intersect(prefix_a, prefix_b)[0] = a.value"
-    fits = F.expr(f"a.value = b.value and a.lv = b.lv and a < b and component_a <> component_b and {_SIZES_FIT} and {can}")
-    rest = a.alias("a").join(b.alias("b"), fits).select("a", "b").distinct()
-    rest = rest.join(likely, ["a", "b"], "left_anti")
-    more = more.unionByName(confirmed(materialize(estimated(rest, reps, percent / 100), "likely"), held, width, percent))
+    placed = materialize(placed.join(split, "value").select("value", "rep", "n", "component"), "placed")
+    members = placed.groupBy("rep", "n", "component").agg(F.sort_array(F.collect_list("value")).alias("values"))
+    sizes = members.groupBy("component").agg(F.count("*").alias("c"))
+    members = materialize(members.join(sizes, "component"), "members")
+    asks, homes = _asking(placed, members, reps)
+    asks = materialize(asks, "asks")
+    homes = homes.join(asks.select("y").distinct(), "y", "left_semi")
+    rest = _by_two_values(members.filter(F.col("c") < BIG)).join(likely, ["a", "b"], "left_anti")
+    rest = materialize(estimated(rest, reps, percent / 100), "likely")
+    held = texts_of(ends(rest).union(asks.select("b")).union(homes.select("b")))
+    more = against_blocks(asks, homes, held, width, percent).unionByName(confirmed(rest, held, width, percent))
     more = materialize(more, "links")
     if not more.isEmpty():
         edges = edges.unionByName(more.select(F.col("b").alias("u"), F.col("a").alias("v")))
