@@ -1,7 +1,8 @@
 """Mixing sources to target weights: iterative proportional fitting over source, language and topic, then sampling.
 
-Only DataFrame functions: token weights are summed into cells, the cells are raked to the marginals in turn, and
-every document is drawn with the probability of its cell by a hash of its doc_id.
+Only DataFrame functions: token weights are summed into cells, the cells are raked to the marginals in turn under
+the bound that none gives more than it holds, and every document is drawn with the probability of its cell by a hash
+of its doc_id.
 """
 
 from __future__ import annotations
@@ -16,6 +17,10 @@ from .common import SPACES, materialize
 
 DIMS = ("source", "lang", "topic")
 ROUNDS = 6
+#: A value gives at most this share of its tokens, so that the other marginals still have room.
+ROOM = 0.95
+#: Largest relative error of a marginal at which the bounded fit is taken.
+CLOSE = 1e-3
 
 
 def n_tokens(text: Column) -> Column:
@@ -61,11 +66,58 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     return out.select(*targets, "tokens", "weight")
 
 
+def targeted(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """cells with a column <dim>_target for each dimension, 0.0 where a value has none."""
+    out = cells
+    for dim, target in targets.items():
+        out = out.join(F.broadcast(target.withColumnRenamed("target", f"{dim}_target")), dim, "left")
+    return out.fillna(0.0, [f"{dim}_target" for dim in targets])
+
+
+def _error(cells: DataFrame, dims: list[str]) -> float:
+    """Largest relative error of the drawn marginals (probability * tokens) of cells that carry their targets."""
+    drawn = F.col("probability") * F.col("tokens")
+    whole = F.sum(drawn).over(W.partitionBy())  # one row per cell
+    off = [F.when(F.col(f"{d}_target") > 0, F.abs(F.sum(drawn).over(W.partitionBy(d)) / whole / F.col(f"{d}_target") - 1)).otherwise(0.0) for d in dims]
+    return float(cells.select(F.greatest(*off).alias("off") if len(off) > 1 else off[0].alias("off")).agg(F.max("off")).first()[0] or 0)
+
+
+def probabilities(cells: DataFrame, targets: dict[str, DataFrame], fraction: float, rounds: int = ROUNDS) -> DataFrame:
+    """cells with the probability at which to draw each: probability * tokens has the target marginals.
+
+    The drawn share of all tokens is `fraction`, or less where a value holds too few tokens for its target.  A step
+    fits one marginal exactly: cells that would pass 1 give all they hold, and the factor of the rest makes up for
+    it.  Where that does not come CLOSE, plain raked weights are scaled by the largest ratio, so none passes 1.
+    """
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    out = materialize(targeted(cells, targets), "targets")
+    room = [F.when(F.col(f"{d}_target") > 0, F.sum("tokens").over(W.partitionBy(d)) / (F.col(f"{d}_target") * total)) for d in targets]
+    room = [r for r in out.select(*[r.alias(f"r{k}") for k, r in enumerate(room)]).agg(*[F.min(f"r{k}") for k in range(len(room))]).first() if r is not None]
+    share = min([fraction, *[ROOM * r for r in room]])
+    out = out.withColumn("weight", F.col("tokens").cast("double"))
+    for _ in range(rounds):
+        for dim in targets:
+            first = W.partitionBy(dim).orderBy(F.desc("ratio"), *DIMS)
+            out = out.withColumn("ratio", F.col("weight") / F.col("tokens"))
+            full = F.coalesce(F.sum("tokens").over(first.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+            rest = F.sum("weight").over(first.rowsBetween(W.currentRow, W.unboundedFollowing))
+            # the factor if all cells before this one are full; the right one is the largest
+            out = out.withColumn("factor", F.when(rest > 0, (F.col(f"{dim}_target") * F.lit(total * share) - full) / rest))
+            out = out.withColumn("weight", F.col("weight") * F.coalesce(F.max("factor").over(W.partitionBy(dim)), F.lit(0.0))).drop("ratio", "factor")
+        out = materialize(out, "raked")
+    out = out.withColumn("probability", F.least(F.lit(1.0), F.col("weight") / F.col("tokens")))
+    if _error(out, list(targets)) > CLOSE:
+        out = materialize(raked(cells, targets, rounds).withColumn("ratio", F.col("weight") / F.col("tokens")), "scaled")
+        top = out.agg(F.max("ratio")).first()[0] or 0.0
+        out = out.withColumn("probability", F.col("ratio") * (min(fraction, 1.0 / top) if top > 0 else 0.0))
+    return out.select(*cells.columns, "probability")
+
+
 def mixed(docs: DataFrame, power: float = 0.7, fraction: float = 0.5, rounds: int = ROUNDS, targets: dict[str, DataFrame] | None = None) -> DataFrame:
     """doc_id, source, lang, topic, tokens, probability, drawn: every document with its calibrated probability.
 
-    The expected token mix of the drawn documents has the target marginals, scaled to about `fraction` of all
-    tokens; a probability that would pass 1 stops there.  targets: per dimension a frame (value, target); by
+    The expected token mix of the drawn documents has the target marginals.  It holds `fraction` of all tokens, or
+    less where a value has too few tokens for its target at that size.  targets: per dimension a frame (value, target); by
     default token shares to `power`.  Null source and lang count as '(none)', null texts as one token.  Rows of one
     doc_id are drawn alike; a null doc_id is never drawn.  Other columns are ignored; no rows give no rows.
     """
@@ -74,9 +126,8 @@ def mixed(docs: DataFrame, power: float = 0.7, fraction: float = 0.5, rounds: in
     rows = materialize(rows, "tokens")
     cells = materialize(rows.groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")), "cells")
     targets = targets or {d: flattened(cells, d, power) for d in DIMS}
-    cells = raked(cells, targets, rounds)
-    chance = F.least(F.lit(1.0), F.col("weight") / F.col("tokens") * fraction)
-    cells = cells.select(*DIMS, F.round(F.coalesce(chance, F.lit(0.0)), 6).alias("probability"))
+    cells = probabilities(cells, targets, fraction, rounds)
+    cells = cells.select(*DIMS, F.round(F.coalesce("probability", F.lit(0.0)), 6).alias("probability"))
     same = reduce(lambda a, b: a & b, [rows[d] == cells[d] for d in DIMS])
     out = rows.join(cells, same, "left").select(rows["doc_id"], *[rows[d] for d in DIMS], rows["tokens"], "probability")
     return out.withColumn("drawn", F.coalesce(uniform(F.col("doc_id")) < F.col("probability"), F.lit(False)))

@@ -388,6 +388,46 @@ def test_mixed(docs, odd, none):
     assert mixing.mixed(none).collect() == []
 
 
+def drawn_shares(got, dim):
+    whole = sum(r.probability * r.tokens for r in got)
+    out = Counter()
+    for r in got:
+        out[r[dim]] += r.probability * r.tokens / whole
+    return out
+
+
+def test_mixed_probabilities_meet_marginals(spark):
+    """The probabilities themselves meet the targets, on the default targets and with a source that holds a third."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    hot = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "hot").otherwise(F.col("source")))
+    for df in (docs, hot):
+        got = mixing.mixed(df).collect()
+        assert all(0 <= r.probability <= 1 for r in got)
+        for dim in mixing.DIMS:
+            held = Counter()
+            for r in got:
+                held[r[dim]] += r.tokens
+            whole = sum(n**0.7 for n in held.values())
+            shares = drawn_shares(got, dim)
+            for v, n in held.items():
+                assert shares[v] == pytest.approx(n**0.7 / whole, rel=5e-3), (dim, v)
+
+
+@pytest.mark.parametrize("fraction", [0.1, 1.0])
+def test_probabilities_bounded_and_scaled(spark, monkeypatch, fraction):
+    """A rare value lifted far above what its cells hold: neither the bounded fit nor the scaled one passes 1."""
+    held = [("a", "x", "p", 9000), ("a", "y", "p", 800), ("b", "x", "p", 500), ("b", "y", "p", 20), ("a", "x", "q", 300), ("a", "y", "q", 40), ("b", "x", "q", 30), ("b", "y", "q", 5)]
+    cells = spark.createDataFrame(held, "source string, lang string, topic string, tokens bigint")
+    want = {"source": {"a": 0.7, "b": 0.3}, "lang": {"x": 0.8, "y": 0.2}, "topic": {"p": 0.9, "q": 0.1}}
+    targets = {d: spark.createDataFrame(list(v.items()), f"{d} string, target double") for d, v in want.items()}
+    for close in (mixing.CLOSE, -1.0):
+        monkeypatch.setattr(mixing, "CLOSE", close)
+        got = mixing.probabilities(cells, targets, fraction, 12).collect()
+        assert len(got) == len(held) and all(0 <= r.probability <= 1 + 1e-9 for r in got)
+        for d, shares in want.items():
+            assert dict(drawn_shares(got, d)) == pytest.approx(shares, rel=2e-3)
+
+
 # ---------------------------------------------------------------- all together
 
 
