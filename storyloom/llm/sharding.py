@@ -3,7 +3,8 @@
 Groups of equal texts stay together.  Groups are dealt to buckets by hash; within a bucket they are sorted by
 size, largest first, and each goes to the least-loaded of the bucket's bins.  The bins of all buckets are then
 sorted by size and go to the least-loaded shard in the same way.  With one bucket that is plain scheduling; more
-buckets bound what any task and the driver hold: at most MAX_BUCKETS * bins rows reach the driver.
+buckets bound what any task and the driver hold.  All buckets share some MAX_BINS bins, far more than shards, so that
+bins are small beside a shard: a group larger than a bin has one to itself, and the second level sees it alone.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from .common import materialize
 
 GROUPS_PER_BUCKET = 20_000
 MAX_BUCKETS = 4096
+#: Bins of all buckets, and so the rows that reach the driver; more only for over 1,024 shards.
+MAX_BINS = 65_536
+BINS_PER_SHARD = 64
 
 
 def lpt(sizes: list[int], bins: int) -> list[int]:
@@ -44,11 +48,12 @@ def shards(docs: DataFrame, n_shards: int = 16) -> DataFrame:
     rows = materialize(rows, "sizes")
     groups = rows.groupBy("key").agg(F.sum("size").alias("load"))
     buckets = max(1, min(MAX_BUCKETS, groups.count() // GROUPS_PER_BUCKET))
+    bins_each = n_shards if buckets == 1 else max(MAX_BINS, BINS_PER_SHARD * n_shards) // buckets
     groups = groups.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["load", "key"], ascending=[False, True], kind="stable")
-        return pd.DataFrame({"key": pdf["key"], "load": pdf["load"], "bucket": pdf["bucket"], "bin": lpt(pdf["load"].tolist(), n_shards)})
+        return pd.DataFrame({"key": pdf["key"], "load": pdf["load"], "bucket": pdf["bucket"], "bin": lpt(pdf["load"].tolist(), bins_each)})
 
     packed = materialize(groups.groupBy("bucket").applyInPandas(pack, "key binary, load bigint, bucket int, bin int"), "bins")
     bins = packed.groupBy("bucket", "bin").agg(F.sum("load").alias("load")).collect()

@@ -174,6 +174,23 @@ def test_shards(docs, odd, none, per_bucket, monkeypatch):
     assert sharding.shards(none).collect() == []
 
 
+@pytest.mark.parametrize("share", [0.1, 0.33])
+def test_shards_hot_group(spark, monkeypatch, share):
+    """Two buckets and a hot group of equal texts: all other shards are as near equal as with one bucket."""
+    monkeypatch.setattr(sharding, "GROUPS_PER_BUCKET", 1000)
+    rng = np.random.default_rng(7)
+    sizes = np.clip(rng.lognormal(5, 0.8, 2250), 10, 3000).astype(int)
+    texts = [f"{k} ".ljust(n, "x") for k, n in enumerate(sizes)]
+    hot = "h" * 999
+    texts += [hot] * int(share / (1 - share) * sizes.sum() / 1000)
+    got = sharding.shards(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), 16).collect()
+    loads, own = Counter(), {r.shard for r in got if r.text_crc32 == zlib.crc32(hot.encode())}
+    for r in got:
+        loads[r.shard] += r.size
+    cold = [n for s, n in loads.items() if s not in own]
+    assert len(got) == len(texts) and len(own) == 1 and len(cold) == 15 and max(cold) <= 1.01 * min(cold)
+
+
 def test_lpt():
     assert sharding.lpt([7, 5, 4, 3, 1], 2) == [0, 1, 1, 0, 1]
 
