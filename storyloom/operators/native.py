@@ -308,10 +308,9 @@ def c1_assign_clusters(spark, sf_dir):
 
 @query("c6_plan_merges")
 def c6_plan_merges(spark, sf_dir):
-    e = read(spark, sf_dir, "embeddings").filter("vec_id % 4 = 0").select((F.col("label") % 5).cast("string").alias("model"), "vec_id", "embedding")
-    a, b = e.toDF("model", "probe", "va"), e.toDF("model", "other", "vb")
-    near = a.join(b, "model").filter("probe <> other").select("model", "probe", "other", V.dot(F.col("va"), F.col("vb")).alias("similarity"))
-    best = near.withColumn("k", F.row_number().over(W.partitionBy("model", "probe").orderBy(F.desc("similarity"), "other"))).filter("k = 1")
+    """All vectors, each with its best partner among all others of its model."""
+    e = read(spark, sf_dir, "embeddings").filter(V.valid(F.col("embedding"), 64))
+    best = clustering.best_partners(e.select((F.col("label") % 5).cast("string").alias("model"), "vec_id", "embedding"))
     return clustering.merges(best.select("model", "probe", (F.col("probe") % 3).alias("probe_n"), "other", (F.col("other") % 3).alias("other_n"), "similarity"), 0.2)
 
 

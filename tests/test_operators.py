@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from storyloom.functions import text as T
 from storyloom.functions import urls as U
-from storyloom.operators import clustering, entities
+from storyloom.operators import clustering, entities, native
 from storyloom.operators.native import simhash_pairs
 from storyloom.sources import archive, feeds
 from storyloom.streaming import ingest
@@ -148,3 +148,26 @@ def test_fold():
 def test_merge_plan():
     c = pd.DataFrame([(1, 5, 2, 3, 0.9), (2, 3, 1, 5, 0.91), (3, 1, 4, 1, 0.95), (2, 3, 3, 1, 0.85), (9, 1, None, None, None), (7, 1, 8, 2, 0.5)], columns=["probe", "probe_n", "other", "other_n", "similarity"])
     assert clustering.plan_merges(c, 0.8).values.tolist() == [[3, 4, 0.95], [1, 2, 0.91]]
+
+
+def test_merge_plan_over_all_vectors(spark):
+    """c6 against brute force over every vector, and the blocks against one block."""
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    by_model = {}
+    for r in e.collect():
+        by_model.setdefault(str(r.label % 5), []).append((r.vec_id, np.array(r.embedding, dtype=float)))
+    want, partners = set(), set()
+    for model, held in by_model.items():
+        held.sort(key=lambda x: x[0])
+        ids, x = [i for i, _ in held], np.stack([v for _, v in held])
+        s = np.round(x @ x.T, 12)
+        np.fill_diagonal(s, -np.inf)
+        best = [(i, ids[k], s[n, k]) for n, (i, k) in enumerate(zip(ids, s.argmax(axis=1), strict=True))]
+        partners |= {(model, i, o) for i, o, _ in best}
+        plan = clustering.plan_merges(pd.DataFrame([(i, i % 3, o, o % 3, v) for i, o, v in best], columns=["probe", "probe_n", "other", "other_n", "similarity"]), 0.2)
+        want |= {(model, w, l, round(v, 9)) for w, l, v in plan.itertuples(index=False)}
+    assert {(r.model, r.winner, r.loser, round(r.similarity, 9)) for r in native.c6_plan_merges(spark, "/root/testdata/sf0.001").collect()} == want and want
+    vectors = e.select((F.col("label") % 5).cast("string").alias("model"), "vec_id", "embedding")
+    for block in (7, 2048):
+        assert {(r.model, r.probe, r.other) for r in clustering.best_partners(vectors, block).collect()} == partners
+    assert clustering.best_partners(vectors.limit(0)).collect() == []
