@@ -33,7 +33,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages"))).drop("block")
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

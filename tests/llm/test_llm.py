@@ -250,6 +250,12 @@ def test_warc(spark):
     assert warc.derivatives(warc.responses(pages.limit(0))).collect() == []
 
 
+def test_warc_query_returns_blocks(spark):
+    got = queries.op4_warc_derivatives(spark, SF).collect()
+    assert len(got) == 2 * spark.read.parquet(f"{SF}/pages.parquet").count()
+    assert all(r.block_digest == "sha1:" + hashlib.sha1(r.block.encode()).hexdigest() and r.content_length == len(r.block.encode()) for r in got)
+
+
 # ---------------------------------------------------------------- chat
 
 
