@@ -2,24 +2,29 @@
 
 Responses are rows of WARC fields and an HTTP message.  Each gives one metadata record (title, language, links)
 and one conversion record (plain text); both keep target URI and date, refer to the response by its id, and carry
-the response's HTTP content type and payload digest beside digests of their own.  All of it is DataFrame functions.
+the response's HTTP headers whole and its digests beside digests of their own.  All of it is DataFrame functions but
+the decoding of entities, which is the standard library's.
 """
 
 from __future__ import annotations
 
 import gzip
+import html as entities
 from collections.abc import Iterator
+from urllib.parse import quote
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 DATE = "2026-01-01T00:00:00Z"
 #: Elements whose content is no text.
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style|head|nav|noscript|template)\b[^>]*>.*?</\1\s*>"
 #: Elements that end a line.
 _BLOCK = r"(?i)<(?:/?(?:p|div|h[1-6]|li|ul|ol|tr|table|article|section|blockquote|header|footer|main|body|html)|br|hr)\b[^>]*>"
 _TAG = r"<[^<>]*>"
-_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
 def record_id(kind: Column, *of: Column) -> Column:
@@ -34,9 +39,13 @@ def digest(x: Column) -> Column:
 
 
 def unescape(x: Column) -> Column:
-    for entity, char in _ENTITIES:
-        x = F.replace(x, F.lit(entity), F.lit(char))
-    return x
+    """All named and numeric entities decoded as HTML5 has it; a no-break space is a space."""
+
+    @F.pandas_udf("string")
+    def decoded(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: entities.unescape(t).replace("\xa0", " ") if isinstance(t, str) and "&" in t else t)
+
+    return decoded(x)
 
 
 def plain_text(html: Column) -> Column:
@@ -68,35 +77,40 @@ def derivatives(records: DataFrame) -> DataFrame:
     """Two rows for each response: its metadata and its conversion record.
 
     page_id, warc_type, record_id, refers_to, concurrent_to (the sibling derivative), target_uri, warc_date,
-    content_type, content_length, block_digest, source_content_type, source_payload_digest, block.  Records of
-    other types give nothing.  Null payloads give an empty block; repeated records give repeated rows.
+    content_type, content_length, block_digest, source_content_type, source_http_headers (status line and all headers
+    as they came), source_payload_digest, source_block_digest, block.  Records of other types give nothing.  Null
+    payloads give an empty block; repeated records give repeated rows.
     """
+    small_batches(records.sparkSession)
     rows = records.filter("warc_type = 'response'").withColumn("payload", F.coalesce("payload", F.lit("")))
     source_type = F.regexp_extract("http_headers", r"(?i)(?:^|\r\n)Content-Type: ([^\r\n]*)", 1)
     title = F.regexp_extract("payload", r"(?is)<title[^>]*>(.*?)</title>", 1)
     title = F.trim(F.regexp_replace(unescape(title), r"\s+", " "))
     lang = F.regexp_extract("payload", r"(?is)<html[^>]*\slang=\"([^\"]*)\"", 1)
     links = F.regexp_extract_all("payload", F.lit(r"(?i)<a\s[^>]*href=\"([^\"]*)\""), 1)
+    rows = rows.withColumns({"title_text": title, "plain_text": plain_text(F.col("payload"))})
     meta = F.concat(
-        F.lit("title: "), title, F.lit("\r\nlanguage: "), lang, F.lit("\r\nfetched-payload-digest: "), F.coalesce("payload_digest", F.lit("")),
+        F.lit("title: "), F.col("title_text"), F.lit("\r\nlanguage: "), lang, F.lit("\r\nfetched-payload-digest: "), F.coalesce("payload_digest", F.lit("")),
         F.array_join(F.transform(links, lambda x: F.concat(F.lit("\r\noutlink: "), x)), ""), F.lit("\r\n"),
     )
     ids = {k: record_id(F.lit(k), F.col("record_id")) for k in ("metadata", "conversion")}
     made = lambda kind, other, content, block: F.struct(F.lit(kind).alias("warc_type"), ids[kind].alias("id"), ids[other].alias("concurrent_to"), F.lit(content).alias("content_type"), block.alias("block"))
-    both = F.array(made("metadata", "conversion", "application/warc-fields", meta), made("conversion", "metadata", "text/plain; charset=utf-8", plain_text(F.col("payload"))))
-    rows = rows.select("page_id", F.col("record_id").alias("refers_to"), "target_uri", "warc_date", source_type.alias("source_content_type"), F.col("payload_digest").alias("source_payload_digest"), F.explode(both).alias("d"))
+    both = F.array(made("metadata", "conversion", "application/warc-fields", meta), made("conversion", "metadata", "text/plain; charset=utf-8", F.col("plain_text")))
+    rows = rows.select("page_id", F.col("record_id").alias("refers_to"), "target_uri", "warc_date", source_type.alias("source_content_type"), F.col("http_headers").alias("source_http_headers"), F.col("payload_digest").alias("source_payload_digest"), F.col("block_digest").alias("source_block_digest"), F.explode(both).alias("d"))
     return rows.select(
         "page_id", "d.warc_type", F.col("d.id").alias("record_id"), "refers_to", "d.concurrent_to", "target_uri", "warc_date", "d.content_type",
-        F.octet_length("d.block").cast("bigint").alias("content_length"), digest(F.col("d.block")).alias("block_digest"), "source_content_type", "source_payload_digest", F.col("d.block").alias("block"),
+        F.octet_length("d.block").cast("bigint").alias("content_length"), digest(F.col("d.block")).alias("block_digest"), "source_content_type", "source_http_headers", "source_payload_digest", "source_block_digest", F.col("d.block").alias("block"),
     )
 
 
 def serialize(row: dict) -> bytes:
-    """One derivative as a gzip member of a WARC 1.1 file."""
+    """One derivative as a gzip member of a WARC 1.1 file; source headers go percent-encoded into one field."""
     block = row["block"].encode()
+    row = row | {"source_http_headers": quote(row.get("source_http_headers") or "", safe=" /:;,=()<>@[]?{}\"'+*&#!$|^`")}
     named = (
         ("WARC-Type", "warc_type"), ("WARC-Record-ID", "record_id"), ("WARC-Refers-To", "refers_to"), ("WARC-Concurrent-To", "concurrent_to"), ("WARC-Target-URI", "target_uri"),
-        ("WARC-Date", "warc_date"), ("WARC-Block-Digest", "block_digest"), ("WARC-Source-Content-Type", "source_content_type"), ("WARC-Source-Payload-Digest", "source_payload_digest"), ("Content-Type", "content_type"),
+        ("WARC-Date", "warc_date"), ("WARC-Block-Digest", "block_digest"), ("WARC-Source-Content-Type", "source_content_type"), ("WARC-Source-HTTP-Headers", "source_http_headers"), ("WARC-Source-Payload-Digest", "source_payload_digest"),
+        ("WARC-Source-Block-Digest", "source_block_digest"), ("Content-Type", "content_type"),
     )
     head = "".join(f"{name}: {row[k]}\r\n" for name, k in named if row.get(k))
     return gzip.compress(f"WARC/1.1\r\n{head}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n", mtime=0)

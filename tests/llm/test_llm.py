@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from urllib.parse import unquote
 
 import numpy as np
 import pytest
@@ -256,6 +257,25 @@ def test_warc_query_returns_blocks(spark):
     assert all(r.block_digest == "sha1:" + hashlib.sha1(r.block.encode()).hexdigest() and r.content_length == len(r.block.encode()) for r in got)
 
 
+def test_warc_source_headers_and_entities(spark):
+    """Every source header and digest is on both derivatives and in the file; all entities are decoded once."""
+    head = "HTTP/1.1 404 Not Found\r\nContent-Type: text/html\r\nContent-Language: fr\r\nLast-Modified: Mon, 1 Jan 2024 00:00:00 GMT\r\nX: 50%\r\nX: é\r\n\r\n"
+    html = "<title>&copy; &Eacute;t&eacute;</title><p>&copy; 2026 &middot; a&nbsp;b &#8217; &#x2019; &hellip; &amp;copy; &lt;p&gt; AT&T &nosuch;</p>"
+    pages = spark.createDataFrame([(1, "http://a/", html)], "page_id bigint, url string, html string")
+    source = warc.responses(pages).withColumn("http_headers", F.lit(head))
+    (of,) = source.collect()
+    got = warc.derivatives(source).collect()
+    assert {r.warc_type for r in got} == {"metadata", "conversion"} and len(got) == 2
+    for r in got:
+        assert (r.source_http_headers, r.source_block_digest, r.source_content_type) == (head, of.block_digest, "text/html")
+        (back,) = warc.parse(warc.serialize(r.asDict()))
+        assert unquote(back["WARC-Source-HTTP-Headers"]) == head and back["WARC-Source-Block-Digest"] == of.block_digest
+        if r.warc_type == "conversion":
+            assert r.block.endswith("© 2026 · a b ’ ’ … &copy; <p> AT&T &nosuch;")
+        else:
+            assert "title: © Été\r\n" in r.block
+
+
 # ---------------------------------------------------------------- chat
 
 
