@@ -65,6 +65,28 @@ def clean_boilerplate(text: Column, patterns: list[str]) -> Column:
     return F.trim(F.regexp_replace(F.array_join(kept, "\n"), "\n{3,}", "\n\n"))
 
 
+#: Lines that the reference's cleaner drops wherever one of these stands.
+ARTICLE_BOILERPLATE = (
+    r"also\s+read|read\s+also|read\s+more|more\s+on\s+this", r"related\s+(news|stories|articles|coverage)", r"you\s+may\s+(also\s+)?like|don.t\s+miss",
+    r"subscribe\s+(to|now|for|here)|sign\s+up\s+(for|to|here)", r"join\s+our\s+(newsletter|channel|group|community|telegram|whatsapp)", r"follow\s+us\s+on|download\s+(the\s+)?(app|our\s+app)",
+    r"get\s+(the\s+)?(latest|breaking|live)\s+news", r"stay\s+updated|for\s+latest\s+updates", r"share\s+(this\s+)?(article|story|post|on)|tweet\s+this|share\s+via",
+    r"copyright\s+©|©\s+\d{4}|all\s+rights\s+reserved", r"terms\s+of\s+(use|service)|privacy\s+policy", r"advertisement|sponsored\s+content|partner\s+content|paid\s+post",
+    r"click\s+here\s+to|tap\s+here\s+to|watch\s+live\s+on", r"disclaimer\s*:|editor.?s\s+note\s*:|correction\s*:", r"independent\.co\.uk|please\s+allow\s+a\s+moment",
+)
+_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+
+
+def cleaned_article(text: Column) -> Column:
+    """The text without boilerplate lines, bare URLs, lone handles and the artefact token; null texts are empty."""
+    lines = F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]")
+    strip = lambda x: F.regexp_replace(x, _EDGES, "")
+    bad = "(?iU)" + "|".join(ARTICLE_BOILERPLATE)
+    kept = F.filter(lines, lambda x: ~(strip(x).rlike(bad) | strip(x).rlike(r"(?U)^https?://\S+\z") | strip(x).rlike(r"(?U)^@\w{1,30}\z")))
+    kept = F.transform(kept, lambda x: F.when(strip(x) == "", "").otherwise(x))
+    out = strip(F.regexp_replace(F.array_join(kept, "\n"), "\n{3,}", "\n\n"))
+    return strip(F.regexp_replace(F.regexp_replace(out, r"(?U)\btext_fields\b", ""), "  +", " "))
+
+
 def candidate_score(text: Column, boilerplate: str) -> Column:
     """Words, discounted by the share of boilerplate words up to nine tenths."""
     n = word_count(text)

@@ -181,6 +181,12 @@ def x20_clean_boilerplate(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.size(kept).alias("kept_lines"))
 
 
+@query("x20_cleaned_text")
+def x20_cleaned_text(spark, sf_dir):
+    """The cleaner itself; x20_clean_boilerplate only counts lines under three patterns."""
+    return read(spark, sf_dir, "documents").select("doc_id", T.cleaned_article(F.col("text")).alias("cleaned"))
+
+
 @query("x22_paragraphs", r"SELECT page_id, CAST(len(regexp_extract_all(html, '(?i)<p[^>]*>')) AS INTEGER) AS paragraphs FROM pages")
 def x22_paragraphs(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", F.size(F.regexp_extract_all("html", F.lit("(?i)<p[^>]*>"), 0)).alias("paragraphs"))
@@ -295,6 +301,15 @@ def x31_category_head(spark, sf_dir):
     return raw.withColumn("p", p).groupBy("vec_id").agg(F.max_by("label", F.struct("p", -F.col("label"))).alias("category"), F.round(F.max("p"), 6).alias("confidence"))
 
 
+@query("x32_tag_head_vectors")
+def x32_tag_head_vectors(spark, sf_dir):
+    """The head itself, with a table of weights (label centroids here); x32_tag_head reads no vector."""
+    e = read(spark, sf_dir, "embeddings").filter(V.valid(F.col("embedding"), 64))
+    mean = F.transform("sum", lambda x: x / F.col("n"))
+    weights = V.vector_sum(e, ["label"], "embedding").select(F.col("label").alias("tag"), mean.alias("w"), F.lit(0.0).alias("bias"), F.when(F.col("label") < 5, 0.4).otherwise(0.6).alias("threshold"))
+    return V.tag_head(e.select("vec_id", "embedding"), weights)
+
+
 # ------------------------------------------------------------------ clustering
 def article_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, d = read(spark, sf_dir, "embeddings"), read(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "source")

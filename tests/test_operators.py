@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import json
+import re
 
 import numpy as np
 import pandas as pd
@@ -171,3 +172,41 @@ def test_merge_plan_over_all_vectors(spark):
     for block in (7, 2048):
         assert {(r.model, r.probe, r.other) for r in clustering.best_partners(vectors, block).collect()} == partners
     assert clustering.best_partners(vectors.limit(0)).collect() == []
+
+
+def plain_clean(text):
+    line = re.compile("(?i)(" + "|".join(T.ARTICLE_BOILERPLATE) + ")")
+    out = []
+    for x in (text or "").splitlines():
+        y = x.strip()
+        if not y:
+            out.append("")
+        elif not line.search(y) and not re.match(r"^https?://\S+$", y) and not re.match(r"^@\w{1,30}\s*$", y):
+            out.append(x)
+    whole = re.sub(r"\btext_fields\b", "", re.sub(r"\n{3,}", "\n\n", "\n".join(out)).strip())
+    return re.sub(r"  +", " ", whole).strip()
+
+
+def test_cleaned_text(spark):
+    texts = ["Title\n\n \n\t\nAlso\u00a0read: x\nbody  text_fields one\r\n https://a.b/c \n@handle \n@not a handle\n© 2024 x\nsee https://a.b", "", None, "ADVERTISEMENT\nEditor’s note: y\nDon’t miss\nrelated stories\nlast\u2028line ", "x\x0bSubscribe now\x0cz"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    assert {r.doc_id: r.t for r in df.select("doc_id", T.cleaned_article(F.col("text")).alias("t")).collect()} == {i: plain_clean(t) for i, t in enumerate(texts)}
+    assert plain_clean(texts[0]) == "Title\n\nbody one\n@not a handle\nsee https://a.b"
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = native.x20_cleaned_text(spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(docs) and all(r.cleaned == plain_clean(docs[r.doc_id]) for r in got)
+
+
+def test_tag_head(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()
+    x, labels = np.array([r.embedding for r in rows], dtype=float), np.array([r.label for r in rows])
+    tags = sorted(set(labels.tolist()))
+    p = 1 / (1 + np.exp(-x @ np.stack([x[labels == t].mean(axis=0) for t in tags]).T))
+    want = {}
+    for r, q in zip(rows, p, strict=True):
+        best = [k for k in np.argsort(-q) if q[k] >= (0.4 if tags[k] < 5 else 0.6)][:3]
+        want[r.vec_id] = [(tags[k], round(q[k], 9)) for k in best]
+    got = {r.vec_id: [] for r in rows}
+    for r in sorted(native.x32_tag_head_vectors(spark, "/root/testdata/sf0.001").collect(), key=lambda r: r.place):
+        got[r.vec_id].append((r.tag, round(r.p, 9)))
+    assert got == want and max(len(v) for v in want.values()) == 3
