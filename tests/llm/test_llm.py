@@ -302,6 +302,19 @@ def test_chat(spark):
     assert chat.expand(df.limit(0)).collect() == []
 
 
+def test_chat_whole_examples(spark):
+    """Every example holds all turns before its reply; the span counts from the start of the whole text."""
+    turns = [(c, i, "assistant" if i % 3 == 2 else "user", f"turn {i} [<s> of {c}") for c in (1, 2, None) for i in range(40)] + [(3, 0, "user", "q")]
+    df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    got = {(r.conv_id, r.example): r for r in chat.whole_examples(chat.expand(df)).collect()}
+    assert len(got) == 3 * 13
+    for (conv, k), r in got.items():
+        own = [t for t in turns if t[0] == conv][: 3 * k + 3]
+        assert r.text == "".join(f"<s>[{t[2]}]\n{chat.escape(t[3])}</s>" for t in own)
+        assert chat.unescape(r.text[r.loss_start : r.loss_start + r.loss_chars]) == own[-1][3]
+    assert chat.whole_examples(chat.expand(df.limit(0))).collect() == []
+
+
 # ---------------------------------------------------------------- quality
 
 
