@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize, skewed_join
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -28,14 +28,15 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         # large star: every larger neighbour of a node is linked with the smallest of its neighbourhood
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n")), "low")
+        large = skewed_join(both, low, "u", "n").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         # small star: a node's smaller neighbours, and itself, are linked with the smallest of them
         large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        small = large.join(least.hint("merge"), "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = materialize(small.filter("u <> v").distinct(), "edges")
+        done, edges = edges, materialize(small.filter("u <> v").distinct(), "edges")
+        discard(done, low)
         after = _state(edges)
         if after == before:
             break

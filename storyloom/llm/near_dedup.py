@@ -3,45 +3,49 @@
 1. Every whole text becomes a set of 64-bit shingle hashes and the K smallest of them, its sketch.  Texts with
    equal sets form a class; only the class representative goes on.
 2. Inverted lists of retained values: value -> representatives.  The values of a sketch are ordered by (list
-   length, value), an order common to all.  Two sketches of s values that share at least s/2 share two among
-   their floor(s/2) + 2 first of that order, so only those are listed: very frequent values come last and are
-   listed only where a document has nothing rarer.  No list is capped.
-3. Short lists give all their pairs; a long list first gives a star around its smallest member of each size class.
-4. The union sketch (K smallest of both) estimates the similarity; below one half a pair cannot reach the
-   threshold, but for a chance under 1e-6 at exactly 0.8 (none where both sketches hold their whole sets).
-5. Pairs left are confirmed on full sets, computed again from the whole texts.
-6. Pairs that share long lists only, and are still in different components, share two long values: those of small
-   components are paired by two values at once, and documents that may belong to a large component are held
-   against all its members, block by block.
+   length, value), an order common to all.  Two sets at the threshold share at least `need` values of their
+   sketches, so they meet among the first size - need + 1 of that order, and only those are listed: a very frequent
+   value is listed only where a document has nothing rarer.  No list is capped.
+3. Lists are read as sorted streams.  Within a list the union sketch (K smallest of both) estimates the similarity
+   of its members; the members that may be linked are joined, and a task gives out only a spanning forest of what it
+   joined.  The connected parts of all forests are neighbourhoods: every link lies within one.
+4. The full sets of a neighbourhood meet in one task, which confirms links exactly and again gives out a forest.
+   Neighbourhoods beyond BLOCK members are dealt to blocks in two ways, which finds most links; then every member
+   outside the neighbourhood's largest component visits all blocks, so no link is lost.
+
+Pairs exist within a task only, as arrays; what is written or shuffled is linear in the lists and the members.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions, small_batches, text_bytes
+from .common import HOT, discard, materialize, partitions, skewed_join, small_batches, text_bytes
 from .components import connected_components
 
 K = 48
-#: Lists up to this length give all pairs at once.
-SHORT = 24
-#: Pairs confirmed by one sorted group of texts.
-GROUP = 256
-#: Components with at least so many documents in unfinished lists are held against others block by block.
-BIG = 64
-BLOCK = 512
-#: Ids of documents whose texts are fetched are broadcast up to so many (8 MB), and joined by a shuffle beyond.
-BROADCAST_IDS = 1_000_000
+#: Percent of a union sketch that must agree at a similarity of 80 percent (scaled for others); a pair at exactly
+#: the threshold falls below with a chance of 3e-8.
+FLOOR = 45
+#: Lists up to this length are estimated pair by pair, all at once; longer ones by search through an index.
+SHORT = 64
+#: A list beyond this length is one neighbourhood as far as sizes fit, without estimates.
+WIDE = 20_000
+#: Members and shingles of a block of a neighbourhood.
+BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
+#: Pairs estimated at once.
+PAIRS = 16_384
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
 _WORDS_KEPT = 400_000
+_EDGES = "a bigint, b bigint"
 
 
 class ShingleHasher:
@@ -74,197 +78,333 @@ class ShingleHasher:
 
 
 def sketches(docs: DataFrame, width: int, k: int = K) -> DataFrame:
-    """doc_id, n_shingles, digest (binary, null for the empty set), sketch (array of its k smallest hashes)."""
+    """doc_id, n_shingles, digest (binary, null for the empty set), sketch (its k smallest hashes), tops (their upper halves, packed)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ShingleHasher(width)
         for b in batches:
-            sizes, digests, values, ends = [], [], [], [0]
+            sizes, digests, values, ends, tops = [], [], [], [0], []
             for t in b.column("text").to_pylist():
                 s = hasher(t)
                 sizes.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 values.append(s[:k].view(np.int64))
+                tops.append((s[:k] >> np.uint64(32)).astype(np.uint32).tobytes())
                 ends.append(ends[-1] + len(values[-1]))
             flat = np.concatenate(values) if values else np.empty(0, np.int64)
             sketch = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), sketch], names=["doc_id", "n_shingles", "digest", "sketch"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), sketch, pa.array(tops, pa.binary())],
+                names=["doc_id", "n_shingles", "digest", "sketch", "tops"],
+            )
 
     small_batches(docs.sparkSession)
-    return text_bytes(docs).mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, sketch array<bigint>")
+    return text_bytes(docs).mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, sketch array<bigint>, tops binary")
 
 
-def inverted_lists(reps: DataFrame) -> DataFrame:
-    """(value, rep, n, size): the values that a representative lists and the lengths of their lists."""
-    flat = reps.select("rep", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
-    often = flat.groupBy("value").agg(F.count("*").alias("c")).filter("c > 1")
-    shared = flat.join(often, "value").groupBy("rep", "n", "s").agg(F.sort_array(F.collect_list(F.struct("c", "value"))).alias("v"))
+def floor_percent(percent: int) -> int:
+    return FLOOR * percent // 80
+
+
+def inverted_lists(reps: DataFrame, percent: int, k: int = K) -> tuple[DataFrame, DataFrame]:
+    """(value, rep, class) rows, each a value that a representative lists; (value, size) of lists of two or more.
+
+    A set that is whole in its sketch, as all partners' are, needs the threshold's share of its own size in common;
+    of others half of the sketch, as far as the estimate goes.  Sets too small to have any partner list nothing.
+    """
+    n, s = F.col("n"), F.size("sketch")
+    own = F.expr(f"(n * {percent} + 99) div 100")
+    need = F.when(F.expr(f"n * 100 div {percent} <= {k}"), own).otherwise(F.expr(f"(size(sketch) * {floor_percent(percent)} + 99) div 100"))
+    flat = reps.filter(F.expr(f"n * 100 div {percent} > n") | (own < n)).select("rep", "class", s.alias("s"), need.alias("need"), F.explode("sketch").alias("value"))
+    often = materialize(flat.groupBy("value").agg(F.count("*").alias("c")).filter("c > 1"), "often")
+    shared = skewed_join(flat, often, "value", "c").groupBy("rep", "class", "need").agg(F.sort_array(F.collect_list(F.struct("c", "value"))).alias("v"))
     # values that no other sketch retains come first in the order and can give no pair
-    room = F.expr("s div 2 + 2 - (s - size(v))").cast("int")
-    listed = shared.filter(room > 0).select("rep", "n", F.explode(F.slice("v.value", F.lit(1), room)).alias("value"))
+    room = F.expr("size(v) - need + 1").cast("int")
+    listed = shared.filter(room > 0).select("rep", "class", F.explode(F.slice("v.value", F.lit(1), room)).alias("value"))
     listed = materialize(listed, "listed")
-    size = listed.groupBy("value").agg(F.count("*").alias("size")).filter("size > 1")
-    return listed.join(size, "value")
+    sizes = materialize(listed.groupBy("value").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
+    discard(often)
+    return listed, sizes
 
 
-def _bucketed(lists: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a list's self-join, dealt by value and size class: sizes of linked sets differ by a fifth at most."""
-    level = F.floor(F.log(1.25, F.col("n").cast("double")) + 1e-9)
-    a = lists.select("value", F.col("rep").alias("a"), F.col("n").alias("na"), *[F.col(c).alias(f"{c}_a") for c in keep], level.alias("lv"))
-    b = lists.select("value", F.col("rep").alias("b"), F.col("n").alias("nb"), *[F.col(c).alias(f"{c}_b") for c in keep], F.explode(F.array(level - 1, level, level + 1)).alias("lv"))
-    return a, b
+class Forest:
+    """Union-find over ids; gives out one edge (id, root) for each id that was joined with another."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        up = self.up
+        top = x
+        while (y := up.get(top, top)) != top:
+            top = y
+        while x != top:
+            up[x], x = top, up[x]
+        return top
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
 
+    def edges(self) -> pa.RecordBatch:
+        ids = [i for i, y in self.up.items() if i != y]
+        return pa.RecordBatch.from_arrays([pa.array([self.root(i) for i in ids], pa.int64()), pa.array(ids, pa.int64())], names=["a", "b"])
 
-_SIZES_FIT = "5 * least(na, nb) >= 4 * greatest(na, nb)"
 
+def spanning(sets: list[np.ndarray], linked: Callable[[np.ndarray, int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Links (i, j) that connect what all linked pairs of sets connect.
 
-def estimated(pairs: DataFrame, reps: DataFrame, threshold: float, k: int = K) -> DataFrame:
-    """The pairs (a < b) whose union sketch leaves the threshold possible."""
-    floor = 0.5 * threshold / 0.8
-    own = reps.select("rep", "sketch")
-    both = pairs.join(own.select(F.col("rep").alias("a"), F.col("sketch").alias("sa")), "a").join(own.select(F.col("rep").alias("b"), F.col("sketch").alias("sb")), "b")
+    linked(common, size, sizes): which of several intersections with a set of that size are links.  Breadth-first
+    from each set through an inverted index; sets already reached leave the index, so dense groups cost little.
+    """
+    m = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    values, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(m), sizes)
+    order = np.argsort(codes, kind="stable")
+    listed, holders = codes[order], owner[order]
+    own = np.split(codes, np.cumsum(sizes)[:-1])
+    alive = np.ones(m, bool)
+    indexed = left = m
+    counts = np.bincount(listed, minlength=len(values))
+    ends = np.cumsum(counts)
+    for start in range(m):
+        if not alive[start]:
+            continue
+        alive[start] = False
+        left -= 1
+        todo = [start]
+        while todo and left:
+            if 2 * left < indexed:
+                keep = alive[holders]
+                listed, holders, indexed = listed[keep], holders[keep], left
+                counts = np.bincount(listed, minlength=len(values))
+                ends = np.cumsum(counts)
+            i = todo.pop()
+            runs = counts[own[i]]
+            at = np.repeat(ends[own[i]] - np.cumsum(runs), runs) + np.arange(runs.sum())
+            common = np.bincount(holders[at], minlength=m)
+            for j in np.flatnonzero(alive & (common > 0) & linked(common, int(sizes[i]), sizes)).tolist():
+                alive[j] = False
+                left -= 1
+                todo.append(j)
+                yield i, j
+
+
+def exactly(percent: int) -> Callable[[np.ndarray, int, np.ndarray], np.ndarray]:
+    return lambda common, size, sizes: 100 * common >= percent * (size + sizes - common)
+
+
+class ListJoiner:
+    """Joins the members of inverted lists that the union sketch estimates as near enough."""
+
+    def __init__(self, percent: int, k: int = K):
+        self.percent, self.floor, self.k, self.forest = percent, floor_percent(percent), k, Forest()
+
+    def short(self, starts: np.ndarray, lengths: np.ndarray, reps: list[int], n: np.ndarray, tops: list[bytes]) -> None:
+        """Several lists at once, laid end to end: all pairs whose sizes fit and that are not joined yet."""
+        ends = np.repeat(starts + lengths, lengths)
+        after = ends - np.arange(len(ends)) - 1
+        i = np.repeat(np.arange(len(ends)), after)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(after) - after, after)
+        roots = np.array([self.forest.root(r) for r in reps], np.int64)
+        fits = (roots[i] != roots[j]) & (self.percent * np.maximum(n[i], n[j]) <= 100 * np.minimum(n[i], n[j]))
+        i, j = i[fits], j[fits]
+        rows = np.full((len(tops), self.k), 0xFFFFFFFF, np.uint32)
+        size = np.array([len(t) // 4 for t in tops])
+        for r, t in enumerate(tops):
+            rows[r, : len(t) // 4] = np.frombuffer(t, np.uint32)
+        for at in range(0, len(i), PAIRS):
+            a, b = i[at : at + PAIRS], j[at : at + PAIRS]
+            near = self.estimate(rows[a], rows[b], size[a], size[b])
+            for x, y in zip(a[near].tolist(), b[near].tolist(), strict=True):
+                self.forest.join(reps[x], reps[y])
+
+    def estimate(self, x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
+        """Which pairs of sketches reach the floor among the k smallest of their union (all of it, where both are whole)."""
+        both = np.sort(np.concatenate([x, y], axis=1), axis=1)
+        same = (both[:, 1:] == both[:, :-1]) & (np.arange(2 * self.k - 1) < (nx + ny - 1)[:, None])
+        before = np.cumsum(same, axis=1, dtype=np.int16) - same
+        union = nx + ny - same.sum(axis=1)
+        seen = np.where((nx < self.k) & (ny < self.k), union, np.minimum(union, self.k))
+        hits = (same & (np.arange(2 * self.k - 1) - before < seen[:, None])).sum(axis=1)
+        return 100 * hits >= self.floor * seen
+
+    def long(self, reps: list[int], n: np.ndarray, tops: list[bytes]) -> None:
+        """One list, by search through an index of its sketches; common values stand for the hits, which are no more."""
+        sets = [np.frombuffer(t, np.uint32) for t in tops]
+        near = lambda common, size, sizes: 100 * common >= self.floor * np.minimum(self.k, size + sizes - common)
+        for i, j in spanning(sets, near):
+            self.forest.join(reps[i], reps[j])
+
+    def wide(self, reps: list[int], n: np.ndarray, pivots: dict[int, int]) -> None:
+        """Part of a list beyond WIDE: members whose sizes may fit are joined, through one pivot of each size class."""
+        for r, level in zip(reps, size_class(n).tolist(), strict=True):
+            pivot = pivots.setdefault(level, r)
+            self.forest.join(r, pivot)
+            for other in (level - 1, level + 1):
+                if other in pivots:
+                    self.forest.join(pivot, pivots[other])
+
+
+def size_class(n: np.ndarray) -> np.ndarray:
+    """Sizes of linked sets differ by a quarter at most: their classes are equal or neighbours."""
+    return np.floor(np.log(n) / np.log(1.25) + 1e-9).astype(np.int64)
+
+
+def neighbours(lists: DataFrame, percent: int) -> DataFrame:
+    """lists (value, rep, n, tops) -> edges (a, b) whose connected parts hold every pair that may be linked."""
+    rows = lists.repartition(partitions(lists.sparkSession), "value").sortWithinPartitions("value")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            if not t.num_rows:
+        joiner, held, size, wide_value, pivots = ListJoiner(percent), [], 0, None, {}
+        for b in batches:
+            if not b.num_rows:
                 continue
-            x, y = t.column("sa"), t.column("sb")
-            nx, ny = np.diff(x.offsets.to_numpy()), np.diff(y.offsets.to_numpy())
-            v = np.concatenate([x.flatten().to_numpy().view(np.uint64), y.flatten().to_numpy().view(np.uint64)])
-            row = np.concatenate([np.repeat(np.arange(len(x)), nx), np.repeat(np.arange(len(y)), ny)])
-            order = np.lexsort((v, row))
-            v, row = v[order], row[order]
-            new = np.ones(len(v), bool)
-            new[1:] = (v[1:] != v[:-1]) | (row[1:] != row[:-1])
-            both_have = np.zeros(len(v), bool)
-            both_have[:-1] = ~new[1:]
-            urow, uhit = row[new], both_have[new]
-            start = np.searchsorted(urow, np.arange(len(x)))
-            rank = np.arange(len(urow)) - start[urow]
-            whole = (nx < k) & (ny < k)
-            take = (rank < k) | whole[urow]
-            hits = np.bincount(urow[take], weights=uhit[take], minlength=len(x))
-            seen = np.maximum(np.bincount(urow[take], minlength=len(x)), 1)
-            yield t.filter(pa.array(hits >= floor * seen - 1e-9)).select(["a", "b"])
-
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
-
-
-def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs with 100 * intersection >= percent * union on full sets.
-
-    Texts meet in sorted groups: one text of a, then up to GROUP partners; partners are streamed, so memory holds
-    two sets.  A document with very many partners gets as many groups as it needs.
-    """
-    spark = pairs.sparkSession
-    n = partitions(spark)
-    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(GROUP)).cast("int").alias("groups"))
-    dealt = pairs.join(many, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int"))
-    heads = many.select("a", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), F.col("a").alias("id"), F.lit(0).alias("kind"))
-    members = dealt.select("a", "salt", F.col("b").alias("id"), F.lit(1).alias("kind"))
-    rows = heads.unionByName(members).join(texts.select(F.col("doc_id").alias("id"), "text"), "id")
-    rows = rows.select("a", "salt", "kind", "id", "text").repartition(n, "a", "salt").sortWithinPartitions("a", "salt", "kind")
+            held.append(b)
+            size += b.num_rows
+            last = b.column("value")[-1].as_py()
+            one = held[0].column("value")[0].as_py() == last
+            if size < (WIDE if one else 2048):
+                continue
+            t = pa.Table.from_batches(held)
+            cut = size if one else int(np.searchsorted(t.column("value").to_numpy(), last))
+            if one and wide_value != last:
+                wide_value, pivots = last, {}
+            wide_value = _work(joiner, t.slice(0, cut), wide_value, pivots)
+            held, size = t.slice(cut).to_batches(), size - cut
+            if len(joiner.forest.up) > 1_000_000:
+                yield joiner.forest.edges()
+                joiner.forest = Forest()
+        if size:
+            _work(joiner, pa.Table.from_batches(held), wide_value, pivots)
+        yield joiner.forest.edges()
+
+    return rows.mapInArrow(run, _EDGES)
+
+
+def _work(joiner: ListJoiner, t: pa.Table, wide_value: int | None, pivots: dict[int, int]) -> int | None:
+    """Joins within the lists of t, which are sorted and whole but for one of value wide_value."""
+    values, reps, n, tops = t.column("value").to_numpy(), t.column("rep").to_pylist(), t.column("n").to_numpy(), t.column("tops").to_pylist()
+    starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    lengths = np.diff(np.r_[starts, len(values)])
+    if wide_value is not None and values[0] == wide_value:
+        joiner.wide(reps[: lengths[0]], n[: lengths[0]], pivots)
+        if len(starts) == 1:
+            return wide_value
+        starts, lengths = starts[1:], lengths[1:]
+    few = lengths <= SHORT
+    for at, size in zip(starts[~few].tolist(), lengths[~few].tolist(), strict=True):
+        joiner.long(reps[at : at + size], n[at : at + size], tops[at : at + size])
+    starts, lengths = starts[few], lengths[few]
+    if len(starts):
+        take = np.repeat(starts - np.r_[0, np.cumsum(lengths)[:-1]], lengths) + np.arange(lengths.sum())
+        joiner.short(np.r_[0, np.cumsum(lengths)[:-1]], lengths, [reps[i] for i in take], n[take], [tops[i] for i in take])
+    return None
+
+
+def wide_neighbours(rows: DataFrame) -> DataFrame:
+    """rows (value, rep, n) of the fewer than HOT hottest lists -> edges through one pivot of each list and size class."""
+    level = F.floor(F.log(1.25, F.col("n").cast("double")) + 1e-9)
+    rows = rows.withColumn("lv", F.explode(F.array(level, level + 1)))
+    pivots = rows.groupBy("value", "lv").agg(F.min("rep").alias("a"))  # fewer than HOT values, about a hundred classes
+    return rows.join(F.broadcast(pivots), ["value", "lv"]).select("a", F.col("rep").alias("b")).filter("a <> b")
+
+
+def confirmed(blocks: DataFrame, percent: int) -> DataFrame:
+    """blocks (y, deal, block, rep, set) -> links (a, b) that connect all that are linked within a block, exactly."""
+    rows = blocks.repartition(partitions(blocks.sparkSession), "y", "deal", "block").sortWithinPartitions("y", "deal", "block")
+
+    def links(reps: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        if len(sets) < 2:
+            return []
+        return [(min(reps[i], reps[j]), max(reps[i], reps[j])) for i, j in spanning(sets, exactly(percent)) if reps[i] != reps[j]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, at, heads = ShingleHasher(width), None, []
+        at, reps, sets = None, [], []
         for t in batches:
-            out_a, out_b = [], []
-            for a, salt, kind, i, text in zip(*(t.column(c).to_pylist() for c in ("a", "salt", "kind", "id", "text")), strict=True):
-                if (a, salt) != at:
-                    at, heads = (a, salt), []
-                s = hasher(text)
-                if kind == 0:
-                    heads.append(s)
-                elif any(_linked(h, s, percent) for h in heads):
-                    out_a.append(a)
-                    out_b.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+            found = []
+            for *key, rep, packed in zip(*(t.column(c).to_pylist() for c in ("y", "deal", "block", "rep", "set")), strict=True):
+                if key != at:
+                    found += links(reps, sets)
+                    at, reps, sets = key, [], []
+                reps.append(rep)
+                sets.append(np.frombuffer(packed, np.uint64))
+            yield _edges(found)
+        yield _edges(links(reps, sets))
 
-    small_batches(spark)
-    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+    small_batches(blocks.sparkSession)
+    return rows.select("y", "deal", "block", "rep", "set").mapInArrow(run, _EDGES)
 
 
-def _asking(placed: DataFrame, members: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """asks (b, y): documents that may be linked with a member of a large component y; homes (b, y, c): its members.
+def visited(rows: DataFrame, percent: int) -> DataFrame:
+    """rows (y, block, kind, rep, component, set) -> links (a, b) of visitors (kind 1) with members (kind 0) of a block.
 
-    The smaller component asks the larger.  Half of the asking sketch must be found among the values of y's sketches,
-    as the estimate demands of any single member.
+    One link for each visitor and component of its links; members of the visitor's own component are passed over.
+    Members are held, visitors are streamed.
     """
-    homes = members.filter(F.col("c") >= BIG).select(F.col("rep").alias("b"), F.col("component").alias("y"), "c")
-    big = placed.join(homes.select(F.col("y").alias("component"), "c").distinct(), "component").select("value", F.col("component").alias("y"), F.col("c").alias("cy")).distinct()
-    asks = placed.join(big, "value").join(members.select("rep", "c"), "rep").filter("component <> y and struct(c, component) < struct(cy, y)")
-    asks = asks.select(F.col("rep").alias("b"), "y").distinct()
-    sketch = reps.select(F.col("rep").alias("b"), F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
-    theirs = homes.select("b", "y").join(sketch, "b").select("y", "value").distinct()
-    shared = asks.join(sketch, "b").join(theirs, ["y", "value"]).groupBy("b", "y", "s").agg(F.count("*").alias("hits"))
-    return shared.filter("2 * hits >= s").select("b", "y"), homes
-
-
-def _by_two_values(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components by the first two listed values that they share."""
-    at = "transform(sequence(0, size(values) - 2), i -> transform(slice(values, i + 2, size(values)), w -> struct(values[i] as v, w as w)))"
-    keyed = members.filter("size(values) > 1").select("rep", "n", "component", "values", F.explode(F.flatten(F.expr(at))).alias("k"))
-    keyed = keyed.select(F.struct("k.v", "k.w").alias("value"), "rep", "n", "component", "values")
-    a, b = _bucketed(keyed, "component", "values")
-    first = "slice(array_intersect(values_a, values_b), 1, 2) = array(a.value.v, a.value.w)"
-    fits = F.expr(f"a.value = b.value and a.lv = b.lv and a < b and component_a <> component_b and {_SIZES_FIT} and {first}")
-    return a.alias("a").join(b.alias("b"), fits).select("a", "b").distinct()
-
-
-def against_blocks(asks: DataFrame, homes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) of each asking document b with a component y: one at most for each block of y.
-
-    asks: (b, y).  homes: (b, y, c), the members of each component and their count c.  The members of a component
-    are dealt to blocks of about BLOCK; every document that asks visits each block, where one pass over an
-    inverted index of whole sets counts its intersections with all of them.  No pair leaves a block unless linked.
-    """
-    spark = asks.sparkSession
-    n = partitions(spark)
-    blocks = F.ceil(F.col("c") / F.lit(BLOCK)).cast("int")
-    home = homes.select("b", "y", F.pmod(F.xxhash64("b"), blocks).cast("int").alias("block"), F.lit(0).alias("kind"))
-    wide = homes.groupBy("y").agg(F.max(blocks).alias("blocks"))
-    visit = asks.join(wide, "y").select("b", "y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("kind"))
-    rows = home.unionByName(visit).join(texts.select(F.col("doc_id").alias("b"), "text"), "b")
-    rows = rows.select("y", "block", "kind", "b", "text").repartition(n, "y", "block").sortWithinPartitions("y", "block", "kind")
+    rows = rows.repartition(partitions(rows.sparkSession), "y", "block").sortWithinPartitions("y", "block", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, at, ids, sets, index = ShingleHasher(width), None, [], [], None
+        at, reps, parts, sets, index = None, [], [], [], None
         for t in batches:
-            out_a, out_b = [], []
-            for y, block, kind, i, text in zip(*(t.column(c).to_pylist() for c in ("y", "block", "kind", "b", "text")), strict=True):
+            found = []
+            for y, block, kind, rep, part, packed in zip(*(t.column(c).to_pylist() for c in ("y", "block", "kind", "rep", "component", "set")), strict=True):
                 if (y, block) != at:
-                    at, ids, sets, index = (y, block), [], [], None
-                s = hasher(text)
+                    at, reps, parts, sets, index = (y, block), [], [], [], None
+                s = np.frombuffer(packed, np.uint64)
                 if kind == 0:
-                    ids.append(i)
+                    reps.append(rep)
+                    parts.append(part)
                     sets.append(s)
                     continue
-                if not ids:
+                if not sets:
                     continue
                 if index is None:
-                    values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets])
+                    values, sizes = np.concatenate(sets), np.array([len(x) for x in sets])
                     order = np.argsort(values, kind="stable")
-                    index = values[order], owner[order], np.array([len(x) for x in sets])
-                values, owner, lengths = index
-                lo, hi = np.searchsorted(values, s, "left"), np.searchsorted(values, s, "right")
-                runs = hi - lo
-                at_rows = np.repeat(lo - np.concatenate(([0], np.cumsum(runs)[:-1])), runs) + np.arange(runs.sum())
-                both = np.bincount(owner[at_rows], minlength=len(ids))
-                found = np.flatnonzero(100 * both >= percent * (lengths + len(s) - both))
-                if len(found) and len(s):
-                    out_a.append(min(ids[k] for k in found))
-                    out_b.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+                    index = values[order], np.repeat(np.arange(len(sets)), sizes)[order], sizes, np.array(parts, np.int64)
+                values, owner, sizes, labels = index
+                lo = np.searchsorted(values, s, "left")
+                runs = np.searchsorted(values, s, "right") - lo
+                hold = np.repeat(lo - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
+                common = np.bincount(owner[hold], minlength=len(sets))
+                near = np.flatnonzero((common > 0) & (labels != part) & exactly(percent)(common, len(s), sizes))
+                for k in near[np.unique(labels[near], return_index=True)[1]].tolist():
+                    if reps[k] != rep:
+                        found.append((min(rep, reps[k]), max(rep, reps[k])))
+            yield _edges(found)
+
+    small_batches(rows.sparkSession)
+    return rows.select("y", "block", "kind", "rep", "component", "set").mapInArrow(run, _EDGES)
+
+
+def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _as_edges(found: DataFrame) -> DataFrame:
+    return found.select(F.col("b").alias("u"), F.col("a").alias("v"))
 
-    small_batches(spark)
-    return rows.mapInArrow(run, "a bigint, b bigint")
 
+def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(rep, set) for the texts of these doc_ids: all shingle hashes, packed."""
+    texts = text_bytes(docs).join(ids.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = ShingleHasher(width)
+        for b in batches:
+            sets = [hasher(t).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.binary())], names=["rep", "set"])
+
+    small_batches(docs.sparkSession)
+    return texts.mapInArrow(run, "rep bigint, set binary").filter("octet_length(set) > 0")
 
-def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    if not len(x) or not len(y):
-        return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= percent * (len(x) + len(y) - both)
+
+def _block(blocks: Column, salt: int) -> Column:
+    return F.pmod(F.xxhash64("rep", F.lit(salt)), blocks).cast("int")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -279,61 +419,62 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         raise ValueError("the size classes and the sketch bound hold from 80 percent up")
     sketch = materialize(sketches(docs, width), "sketches")
     some = sketch.filter("digest is not null and doc_id is not null")
-    classes = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    classes = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("tops").alias("tops"), F.count("*").alias("held"))
     classes = materialize(classes, "classes")
-    reps = classes.select("rep", "n", "sketch")
-    member = some.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest").select("doc_id", "rep")
-    # a doc_id with several texts joins their classes
-    shared_id = member.groupBy("doc_id").agg(F.min("rep").alias("v"), F.max("rep").alias("top")).filter("v < top").select("doc_id", "v")
-    shared_id = member.join(shared_id, "doc_id").select(F.col("rep").alias("u"), "v")
-
-    lists = materialize(inverted_lists(reps), "lists")
-    short = lists.filter(F.col("size") <= SHORT)
-    a, b = _bucketed(short)
-    pairs = a.join(b, ["value", "lv"]).filter(f"a < b and {_SIZES_FIT}").select("a", "b")
-    long_lists = lists.filter(F.col("size") > SHORT)
-    level = F.floor(F.log(1.25, F.col("n").cast("double")) + 1e-9)
-    heads = long_lists.groupBy("value", level.alias("lv")).agg(F.min(F.struct("rep", "n")).alias("h"))
-    star = long_lists.withColumn("lv", F.explode(F.array(level, level + 1))).join(heads, ["value", "lv"])
-    star = star.select(F.col("h.rep").alias("x"), F.col("rep").alias("y"), F.col("h.n").alias("na"), F.col("n").alias("nb")).filter(f"x <> y and {_SIZES_FIT}")
-    star = star.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    likely = materialize(estimated(pairs.unionByName(star).distinct(), reps, percent / 100), "likely")
-
-    def texts_of(ids: DataFrame) -> DataFrame:
-        """Whole texts of these doc_ids; the ids are broadcast only while they are few."""
-        ids = materialize(ids.distinct(), "ids")
-        few = ids.count() <= BROADCAST_IDS
-        return materialize(text_bytes(docs).join(F.broadcast(ids) if few else ids, "doc_id", "left_semi"), "texts")
-
-    def ends(found: DataFrame) -> DataFrame:
-        return found.select(F.col("a").alias("doc_id")).union(found.select("b"))
-
-    links = materialize(confirmed(likely, texts_of(ends(likely)), width, percent), "links")
-    edges = links.select(F.col("b").alias("u"), F.col("a").alias("v")).unionByName(shared_id)
-    parts = materialize(connected_components(edges), "parts")
-
-    # long lists across components: what the stars have not joined yet
-    placed = long_lists.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    split = placed.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("value")
-    placed = materialize(placed.join(split, "value").select("value", "rep", "n", "component"), "placed")
-    members = placed.groupBy("rep", "n", "component").agg(F.sort_array(F.collect_list("value")).alias("values"))
-    sizes = members.groupBy("component").agg(F.count("*").alias("c"))
-    members = materialize(members.join(sizes, "component"), "members")
-    asks, homes = _asking(placed, members, reps)
-    asks = materialize(asks, "asks")
-    homes = homes.join(asks.select("y").distinct(), "y", "left_semi")
-    rest = _by_two_values(members.filter(F.col("c") < BIG)).join(likely, ["a", "b"], "left_anti")
-    rest = materialize(estimated(rest, reps, percent / 100), "likely")
-    held = texts_of(ends(rest).union(asks.select("b")).union(homes.select("b")))
-    more = against_blocks(asks, homes, held, width, percent).unionByName(confirmed(rest, held, width, percent))
-    more = materialize(more, "links")
-    if not more.isEmpty():
-        edges = edges.unionByName(more.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        parts = materialize(connected_components(edges), "parts")
+    # a doc_id with several texts may stand for several classes
+    reps = classes.withColumn("class", F.xxhash64("digest"))
+    named = some.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    several = materialize(named.filter("low < high").select("doc_id"), "several")
+    mine = some.select("doc_id", "digest").join(several.hint("merge"), "doc_id").join(classes.select("digest", "rep").hint("merge"), "digest")
+    shared_id = materialize(mine.select(F.col("doc_id").alias("b"), F.col("rep").alias("a")).filter("a <> b").select("a", "b"), "shared")
+
+    listed, sizes = inverted_lists(reps, percent)
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    hottest = F.col("size") > F.greatest(F.lit(WIDE), F.lit(total) / HOT)
+    placed = skewed_join(listed, sizes.filter(~hottest), "value", "size").select("value", "rep", "class")
+    lists = placed.join(reps.select("rep", "class", "n", "tops").hint("merge"), ["rep", "class"]).select("value", "rep", "n", "tops")
+    edges = neighbours(lists, percent)
+    hot = sizes.filter(hottest)
+    if not hot.isEmpty():
+        rows = listed.join(F.broadcast(hot.select("value")), "value")
+        edges = edges.unionByName(wide_neighbours(rows.join(reps.select("rep", "class", "n").hint("merge"), ["rep", "class"]).select("value", "rep", "n")))
+    edges = materialize(edges.unionByName(shared_id), "near")
+    around = connected_components(_as_edges(edges))
+
+    # full sets meet by neighbourhood
+    size_of = reps.groupBy("rep").agg(F.sum("n").alias("n"))
+    members = materialize(around.join(size_of.hint("merge"), around["node"] == size_of["rep"]).select("rep", "n", F.col("component").alias("y")), "members")
+    blocks = F.greatest(F.ceil(F.count("*") / F.lit(BLOCK)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int")
+    groups = materialize(members.groupBy("y").agg(F.count("*").alias("c"), blocks.alias("blocks")), "groups")
+    sets = materialize(whole_sets(docs, members, width), "sets")
+    dealt = skewed_join(members, groups, "y", "c")
+    dealt = materialize(dealt.select("rep", "y", "blocks"), "dealt")
+    deals = dealt.select("rep", "y", "blocks", F.explode(F.when(F.col("blocks") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("deal"))
+    deals = deals.select("rep", "y", "deal", F.when(F.col("deal") == 0, _block(F.col("blocks"), 0)).otherwise(_block(F.col("blocks"), 1)).alias("block"))
+    links = confirmed(deals.join(sets.hint("merge"), "rep"), percent).unionByName(shared_id)
+    links = materialize(links, "links")
+    parts = connected_components(_as_edges(links))
+
+    if not dealt.filter("blocks > 1").isEmpty():
+        # members outside the largest component of a neighbourhood visit all its blocks
+        large = dealt.filter("blocks > 1").join(parts.withColumnRenamed("node", "rep").hint("merge"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        large = materialize(large, "large")
+        main = large.groupBy("y", "component").agg(F.count("*").alias("c"))
+        main = main.groupBy("y").agg(F.sum("c").alias("c"), F.max_by("component", F.struct("c", "component")).alias("main"))
+        split = materialize(main.join(large.filter("blocks > 1").select("y", "component").distinct().groupBy("y").agg(F.count("*").alias("parts")).filter("parts > 1").hint("merge"), "y").select("y", "main", "c"), "split")
+        if not split.isEmpty():
+            rows = skewed_join(large, split, "y", "c")
+            home = rows.select("y", _block(F.col("blocks"), 0).alias("block"), F.lit(0).alias("kind"), "rep", "component")
+            visit = rows.filter("component <> main").select("y", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.lit(1).alias("kind"), "rep", "component")
+            more = visited(home.unionByName(visit).join(sets.hint("merge"), "rep"), percent)
+            links = materialize(links.unionByName(more), "links")
+            parts = connected_components(_as_edges(links))
 
     # each representative's component, then each document's through its class
-    named = reps.select("rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("component_id"))
-    placed = classes.select("digest", "rep").join(named.distinct(), "rep").select("digest", "component_id")
-    out = sketch.select("doc_id", "n_shingles", "digest").join(placed, "digest", "left")
+    parts = parts.withColumnRenamed("node", "rep").hint("merge")
+    home = classes.select("digest", "rep", "held").join(parts, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"), "held")
+    home = materialize(home, "homes")
+    discard(listed, sizes, edges, members, groups, sets, dealt, classes, several)
+    out = skewed_join(sketch.select("doc_id", "n_shingles", "digest"), home, "digest", "held", "left")
     out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

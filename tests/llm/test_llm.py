@@ -90,10 +90,11 @@ def test_near_duplicates_brute_force(docs, odd, width):
                 assert (r.component_id, r.kept) == (want[r.doc_id], want[r.doc_id] == r.doc_id) and r.n_shingles in sizes[r.doc_id]
 
 
-def test_near_duplicates_dense_group(spark, monkeypatch):
+@pytest.mark.parametrize("limits", [{}, {"BLOCK": 16}, {"BLOCK": 16, "SHORT": 8}, {"BLOCK": 40, "SHORT": 8, "WIDE": 30, "HOT": 10**6}, {"BLOCK": 16, "WIDE": 20, "HOT": 500}])
+def test_near_duplicates_dense_group(spark, monkeypatch, limits):
     """A large group of near copies around one text, many just below the threshold; long lists and blocks are used."""
-    monkeypatch.setattr(near_dedup, "BIG", 8)
-    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    for name, value in limits.items():
+        monkeypatch.setattr(near_dedup, name, value)
     rng = np.random.default_rng(5)
     base = [f"b{i}" for i in range(120)]
     texts = []
