@@ -26,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; documents that lose all their text go with them; n_chars follows the text."""
     kept = line_dedup.line_dedup(docs, carry=("lang", "source"))
-    kept = kept.filter("n_dropped = 0 or trim(text) <> ''")
+    kept = kept.filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return kept.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
