@@ -11,14 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 WORDS_PER_MINUTE = 200
-#: Unicode blocks that name a script.
-SCRIPTS = {
-    "deva": r"ऀ-ॿ", "beng": r"ঀ-৿", "guru": r"਀-੿", "gujr": r"઀-૿", "orya": r"଀-୿", "taml": r"஀-௿",
-    "telu": r"ఀ-౿", "knda": r"ಀ-೿", "mlym": r"ഀ-ൿ", "arab": r"؀-ۿݐ-ݿﭐ-﷿ﹰ-﻿", "mtei": r"ꯀ-꯿", "olck": r"᱐-᱿",
-}
-#: Scripts that one language alone uses.
-SCRIPT_LANGUAGE = {"guru": "pa", "gujr": "gu", "orya": "or", "taml": "ta", "telu": "te", "knda": "kn", "mlym": "ml", "arab": "ur", "mtei": "mni", "olck": "sat"}
-_LETTER = r"\p{L}\p{Mn}\p{Mc}"
 
 
 def word_count(text: Column) -> Column:
@@ -35,30 +27,6 @@ def first_text(*texts: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(t), F.lit("")) for t in texts], F.lit(""))
 
 
-def script_count(text: Column, script: str) -> Column:
-    block = SCRIPTS[script]
-    return F.length(F.regexp_replace(text, rf"(?:(?![{block}])|(?![{_LETTER}]))[\s\S]", ""))
-
-
-def latin_count(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, rf"(?:(?![\u0000-ɏ])|(?![{_LETTER}]))[\s\S]", ""))
-
-
-def letter_count(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, rf"[^{_LETTER}]", ""))
-
-
-def article_language(title: Column, description: Column, declared: Column) -> Column:
-    """The script's language where a quarter of the letters, or eight letters of one script, are not Latin; else the declared one; else en."""
-    sample = F.substring(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(description, F.lit(""))), 1, 2000)
-    letters = letter_count(sample)
-    out = F.coalesce(F.nullif(F.lower(F.trim(declared)), F.lit("")), F.lit("en"))
-    for script, language in SCRIPT_LANGUAGE.items():
-        n = script_count(sample, script)
-        out = F.when((n >= 8) | ((n > 0) & (n >= 0.25 * letters)), language).otherwise(out)
-    return out
-
-
 def clean_boilerplate(text: Column, patterns: list[str]) -> Column:
     """Drop lines that match a pattern; no more than one blank line in a row."""
     kept = F.filter(F.split(text, "\n"), lambda x: ~x.rlike("(?i)" + "|".join(patterns)))

@@ -15,6 +15,11 @@ def norm(a: Column) -> Column:
     return F.sqrt(dot(a, a))
 
 
+def unit(a: Column) -> Column:
+    """Scaled to length one; the length is computed once."""
+    return F.get(F.transform(F.array(norm(a)), lambda n: F.transform(a, lambda x: x / n)), F.lit(0))
+
+
 def valid(a: Column, size: int) -> Column:
     """Right length, no null or NaN, not zero.  NaN ranks above every number, so it is tested first."""
     return F.coalesce((F.size(a) == size) & ~F.exists(a, lambda x: x.isNull() | F.isnan(x)) & (norm(a) > 0), F.lit(False))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from storyloom.functions import text as T
 from storyloom.functions import urls as U
 from storyloom.functions import vectors as V
-from storyloom.operators import clustering
 from storyloom.plans.registry import query
 
 
@@ -148,22 +147,6 @@ def x2_summary(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.when(body == "", None).when(F.size(good) > 0, F.left(F.array_join(good, " "), F.lit(500))).otherwise(F.left(body, F.lit(500))).alias("summary"))
 
 
-@query("x4_latin_letters", r"SELECT doc_id, CAST(length(regexp_replace(text, '[^\p{L}\p{Mn}\p{Mc}]', '', 'g')) AS INTEGER) AS letters FROM documents")
-def x4_latin_letters(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", T.letter_count(F.col("text")).alias("letters"))
-
-
-@query("x8_article_language", "SELECT doc_id, lower(lang) AS language FROM documents")
-def x8_article_language(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", T.article_language(F.substring_index("text", "\n", 1), F.col("text"), F.col("lang")).alias("language"))
-
-
-@query("x9_language_code", r"SELECT doc_id, regexp_extract(replace(lower(CASE doc_id % 4 WHEN 0 THEN lang || '_IN' WHEN 1 THEN upper(lang) WHEN 2 THEN 'x' ELSE lang || '-latn' END), '_', '-'), '^([a-z]{2,3})(-|$)', 1) AS code FROM documents")
-def x9_language_code(spark, sf_dir):
-    raw = F.expr("CASE doc_id % 4 WHEN 0 THEN concat(lang, '_IN') WHEN 1 THEN upper(lang) WHEN 2 THEN 'x' ELSE concat(lang, '-latn') END")
-    return read(spark, sf_dir, "documents").select("doc_id", F.regexp_extract(F.replace(F.lower(raw), F.lit("_"), F.lit("-")), "^([a-z]{2,3})(-|$)", 1).alias("code"))
-
-
 @query("x11_title", "SELECT page_id, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title FROM pages")
 def x11_title(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", F.trim(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
@@ -260,35 +243,6 @@ def a19_threshold_sweep(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ vectors
-@query("f7_vector_guard", "SELECT vec_id, (len(embedding) = 64 AND list_inner_product(embedding, embedding) > 0) AS ok FROM embeddings")
-def f7_vector_guard(spark, sf_dir):
-    return read(spark, sf_dir, "embeddings").select("vec_id", V.valid(F.col("embedding"), 64).alias("ok"))
-
-
-@query("a10_centroids", """WITH p AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings) SELECT label, CAST(pos AS INTEGER) AS pos, round(sum(CAST(x AS DOUBLE)), 4) AS s FROM p GROUP BY 1, 2""")
-def a10_centroids(spark, sf_dir):
-    sums = V.vector_sum(read(spark, sf_dir, "embeddings"), ["label"], "embedding")
-    return sums.select("label", F.posexplode("sum").alias("pos", "s")).select("label", "pos", F.round("s", 4).alias("s"))
-
-
-@query("a11_average_link", """WITH p AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings), s AS (SELECT label, pos, sum(CAST(x AS DOUBLE)) AS x FROM p GROUP BY 1, 2), n AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1),
-q AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings)
-SELECT q.vec_id, round(sum(CAST(q.x AS DOUBLE) * s.x) / max(n.n), 4) AS link FROM q JOIN s ON s.label = q.label AND s.pos = q.pos JOIN n ON n.label = q.label GROUP BY q.vec_id""")
-def a11_average_link(spark, sf_dir):
-    e = read(spark, sf_dir, "embeddings")
-    return e.join(V.vector_sum(e, ["label"], "embedding"), "label").select("vec_id", F.round(V.dot(F.col("embedding"), F.col("sum")) / F.col("n"), 4).alias("link"))
-
-
-@query("j5_window_top_clusters", """WITH p AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings), s AS (SELECT label, pos, sum(CAST(x AS DOUBLE)) AS x FROM p GROUP BY 1, 2),
-q AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings WHERE vec_id % 20 = 0), d AS (SELECT q.vec_id, s.label, round(sum(CAST(q.x AS DOUBLE) * s.x), 3) AS score FROM q JOIN s ON s.pos = q.pos GROUP BY 1, 2)
-SELECT vec_id, label, score FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label) AS k FROM d) x WHERE k <= 5""")
-def j5_window_top_clusters(spark, sf_dir):
-    """A stated query set (every twentieth vector) against all centroids, best five each; positions are the join key."""
-    e = read(spark, sf_dir, "embeddings")
-    sums = V.vector_sum(e, ["label"], "embedding").select("label", F.posexplode("sum").alias("at", "s"))
-    asks = e.filter("vec_id % 20 = 0").select("vec_id", F.posexplode("embedding").alias("at", "x"))
-    d = asks.join(sums, "at").groupBy("vec_id", "label").agg(F.round(F.sum(F.col("x").cast("double") * F.col("s")), 3).alias("score"))
-    return d.withColumn("k", F.row_number().over(W.partitionBy("vec_id").orderBy(F.desc("score"), "label"))).filter("k <= 5").drop("k")
 
 
 @query("x31_category_head")
@@ -310,25 +264,6 @@ def x32_tag_head_vectors(spark, sf_dir):
     return V.tag_head(e.select("vec_id", "embedding"), weights)
 
 
-# ------------------------------------------------------------------ clustering
-def article_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, d = read(spark, sf_dir, "embeddings"), read(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "source")
-    return e.join(d, "vec_id", "left").select((F.col("label") % 2).cast("string").alias("model"), F.col("vec_id").alias("article_id"), (F.col("vec_id") * 900).alias("t"), F.col("embedding").alias("vector"), F.col("source").alias("domain"))
-
-
-@query("c1_assign_clusters")
-def c1_assign_clusters(spark, sf_dir):
-    return clustering.assign(article_vectors(spark, sf_dir), clustering.Rules(join=0.3, anchor=0.1))
-
-
-@query("c6_plan_merges")
-def c6_plan_merges(spark, sf_dir):
-    """All vectors, each with its best partner among all others of its model."""
-    e = read(spark, sf_dir, "embeddings").filter(V.valid(F.col("embedding"), 64))
-    best = clustering.best_partners(e.select((F.col("label") % 5).cast("string").alias("model"), "vec_id", "embedding"))
-    return clustering.merges(best.select("model", "probe", (F.col("probe") % 3).alias("probe_n"), "other", (F.col("other") % 3).alias("other_n"), "similarity"), 0.2)
-
-
 # ------------------------------------------------------------------ events: windows and sessions
 @query("tumbling_day", "SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS day, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
 def tumbling_day(spark, sf_dir):

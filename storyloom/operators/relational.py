@@ -39,13 +39,6 @@ SELECT {_DOM} AS domain, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER
 relational("a7_feed_health", f"""
 SELECT f.id, f.fail_count, CAST(count(e.event_id) AS BIGINT) AS found, CAST(floor(({NOW} - f.last_new_article_at) / {DAY}) AS BIGINT) AS days_since
 FROM feeds f LEFT JOIN (SELECT event_id, user_id FROM events WHERE event_type = 'view') e ON e.user_id = f.id GROUP BY f.id, f.fail_count, f.last_new_article_at""")
-relational("a8_reconcile_cluster_counts", """
-WITH real AS (SELECT cluster_id, count(*) AS n, count(DISTINCT coalesce(domain, '')) AS outlets, min(crawled_at) AS lo, max(crawled_at) AS hi FROM articles WHERE cluster_id IS NOT NULL GROUP BY cluster_id)
-SELECT c.id, CAST(r.n AS BIGINT) AS article_count, CAST(r.outlets AS BIGINT) AS outlet_count, r.lo AS first_seen, r.hi AS last_seen FROM clusters c JOIN real r ON r.cluster_id = c.id
-WHERE c.status = 'active' AND (c.article_count <> r.n OR c.outlet_count <> r.outlets OR c.first_seen <> r.lo OR c.last_seen <> r.hi)""")
-relational("a9_purge_rescale", """
-SELECT cluster_id, CAST(count(*) AS BIGINT) AS kept, CAST(count(DISTINCT domain) AS BIGINT) AS outlets, CAST(count(DISTINCT language_code) AS BIGINT) AS languages, min(id) AS first_id,
-       round(CAST(count(*) FILTER (WHERE language_code IN ('en', 'fr')) AS DOUBLE) / count(*), 6) AS scale FROM articles WHERE cluster_id IS NOT NULL GROUP BY cluster_id""")
 relational("a12_queue_depth", f"SELECT CAST(count(*) AS BIGINT) AS depth FROM articles WHERE enriched_at IS NULL AND title IS NOT NULL AND enrich_attempts < 3 AND crawled_at > {NOW - 2 * DAY}")
 relational("a13_archive_day_stats", f"""
 SELECT CAST(floor(crawled_at / {DAY}) AS BIGINT) AS day, CAST(count(*) AS BIGINT) AS articles, min(id) AS min_id, max(id) AS max_id,
@@ -94,11 +87,6 @@ SELECT id, CASE WHEN success THEN 0 ELSE fail_count + 1 END AS fail_count, CASE
        CASE WHEN success AND reactivate THEN true WHEN NOT success AND fail_count + 1 >= 5 THEN false WHEN success AND dormant THEN false ELSE is_active END AS is_active,
        CASE WHEN success AND reactivate THEN NULL WHEN NOT success AND fail_count + 1 >= 5 THEN 'errors' WHEN success AND dormant THEN 'dormant' ELSE disabled_reason END AS disabled_reason FROM polled""")
 relational("f4_dormancy", f"SELECT id, CAST(floor(({NOW} - last_new_article_at) / {DAY}) AS BIGINT) AS idle_days, floor(({NOW} - last_new_article_at) / {DAY}) >= 30 AS dormant FROM feeds")
-relational("f5_language_scope", "SELECT id, language_code FROM articles WHERE language_code IN ('en', 'hi')")
-relational("f6_time_compatible", f"""
-WITH a AS (SELECT id, coalesce(published_at, crawled_at) AS t FROM articles WHERE id % 20 = 0)
-SELECT a.id AS article, c.id AS cluster FROM a JOIN clusters c ON c.last_seen >= a.t - 64800 AND c.first_seen <= a.t + 64800 AND greatest(c.last_seen, a.t) - least(c.first_seen, a.t) <= 432000 WHERE c.status = 'active'""")
-relational("f8_purge_decision", "SELECT id, language_code NOT IN ('en', 'hi') AND NOT (coalesce(domain, '') = 'SRC1') AS purge FROM articles")
 
 # ------------------------------------------------------------------ joins
 relational("j7_feeds_left_join", f"SELECT f.id, CAST(count(e.event_id) AS BIGINT) AS recent FROM feeds f LEFT JOIN events e ON e.user_id = f.id AND e.value > 50 GROUP BY f.id")
@@ -143,14 +131,6 @@ relational("v3_prune_verified_day", f"""
 WITH log AS (SELECT CAST(floor(crawled_at / {DAY}) AS BIGINT) AS day, count(*) AS archived FROM articles GROUP BY 1), verified AS (SELECT day FROM log WHERE day < {NOW // DAY - 3})
 SELECT a.id FROM articles a LEFT JOIN verified v ON v.day = CAST(floor(a.crawled_at / {DAY}) AS BIGINT) WHERE v.day IS NULL""")
 relational("w8_prune_oldest", "SELECT id FROM (SELECT id, row_number() OVER (ORDER BY id DESC) AS k FROM articles) x WHERE k > 300 ORDER BY id LIMIT 200")
-relational("c5_merge_clusters", """
-WITH plan AS (SELECT id AS loser, id - 1 AS winner FROM clusters WHERE status = 'active' AND id % 4 = 1)
-SELECT coalesce(p.winner, c.id) AS cluster, CAST(sum(c.article_count) AS BIGINT) AS article_count, min(c.first_seen) AS first_seen, max(c.last_seen) AS last_seen FROM clusters c LEFT JOIN plan p ON p.loser = c.id WHERE c.status = 'active' GROUP BY 1""")
-relational("c9_state_ttl", f"SELECT id FROM clusters WHERE status = 'active' AND last_seen >= {NOW - 30 * 3600}")
-relational("s18_cluster_delta", f"SELECT id, status, last_seen FROM clusters WHERE last_seen > {NOW - 6 * 3600}")
-relational("k7_apply_changes", f"""
-WITH changed AS (SELECT id, article_count + 1 AS article_count FROM clusters WHERE id % 2 = 0 UNION ALL SELECT CAST(5000 AS BIGINT), CAST(1 AS BIGINT))
-SELECT coalesce(n.id, c.id) AS id, CASE WHEN c.status = 'merged' THEN c.article_count ELSE coalesce(n.article_count, c.article_count) END AS article_count, coalesce(c.status, 'active') AS status FROM clusters c FULL OUTER JOIN changed n ON n.id = c.id""")
 relational("k1_upsert_returning", """
 WITH stored AS (SELECT DISTINCT md5(text) AS h FROM documents WHERE doc_id % 2 = 0), batch AS (SELECT doc_id, md5(text) AS h, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS k FROM documents WHERE doc_id % 2 = 1)
 SELECT b.doc_id FROM batch b WHERE b.k = 1 AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.h = b.h)""")

@@ -33,25 +33,8 @@ WITH s AS (SELECT vec_id, label AS tag, 1 / (1 + exp(-(vec_id % 13 - 6) / 2.0))
 SELECT vec_id, tag FROM s WHERE p >= CASE WHEN tag < 5 THEN 0.4 ELSE 0.6 END""")
 
 # ------------------------------------------------------------------ lateral lookups
-relational("j3_nearest_cluster", """
-WITH a AS (SELECT id, cluster_id, crawled_at AS t FROM articles WHERE id % 25 = 0), d AS (SELECT a.id, c.id AS cluster, abs(a.t - c.last_seen) AS gap FROM a JOIN clusters c ON c.last_seen >= a.t - 64800 AND c.first_seen <= a.t + 64800 WHERE c.status = 'active')
-SELECT id, cluster, gap FROM (SELECT d.*, row_number() OVER (PARTITION BY id ORDER BY gap, cluster) AS k FROM d) x WHERE k = 1""")
-relational("j4_duplicate_pairs", """
-WITH c AS (SELECT id, article_count FROM clusters WHERE status = 'active'), p AS (SELECT a.id AS a, b.id AS b, abs(a.article_count - b.article_count) AS d FROM c a JOIN c b ON a.id < b.id AND b.id <= a.id + 5)
-SELECT a, b, d FROM (SELECT p.*, row_number() OVER (PARTITION BY a ORDER BY d, b) AS k FROM p) x WHERE k = 1""")
-relational("j6_merge_candidates", """
-WITH c AS (SELECT id, article_count, first_seen, last_seen FROM clusters WHERE status = 'active'),
-p AS (SELECT a.id AS probe, b.id AS other, abs(a.article_count - b.article_count) AS d FROM c a JOIN c b ON a.id <> b.id AND b.last_seen >= a.first_seen - 64800 AND b.first_seen <= a.last_seen + 64800),
-best AS (SELECT probe, other, d FROM (SELECT p.*, row_number() OVER (PARTITION BY probe ORDER BY d, other) AS k FROM p) x WHERE k = 1)
-SELECT c.id AS probe, best.other, best.d FROM c LEFT JOIN best ON best.probe = c.id""")
-relational("j12_image_evidence", """
-WITH i AS (SELECT DISTINCT user_id % 64 AS h, event_type AS d FROM events)
-SELECT DISTINCT a.h, a.d FROM i a WHERE EXISTS (SELECT 1 FROM i b WHERE b.h = a.h AND b.d <> a.d)""")
 
 # ------------------------------------------------------------------ evaluation, sampling
-relational("a21_language_accuracy", """
-SELECT lang, CAST(count(*) AS BIGINT) AS n, round(100.0 * count(*) FILTER (WHERE lang = CASE WHEN doc_id % 20 = 0 THEN 'en' ELSE lang END) / count(*), 2) AS accuracy,
-       CAST(count(*) FILTER (WHERE n_chars >= 20) AS BIGINT) AS long_enough FROM documents GROUP BY lang""")
 relational("w11_decile_pool", """
 WITH p AS (SELECT doc_id, n_chars, ntile(10) OVER (ORDER BY n_chars, doc_id) AS decile FROM documents), o AS (SELECT p.*, row_number() OVER (PARTITION BY decile ORDER BY md5(concat('pool', CAST(doc_id AS VARCHAR(20)))), doc_id) AS k FROM p)
 SELECT doc_id, CAST(decile AS BIGINT) AS decile FROM o WHERE k <= 8""")
@@ -62,10 +45,6 @@ relational("f9_evidence", """
 SELECT user_id, k FROM (SELECT user_id, lower(event_type) AS k, row_number() OVER (PARTITION BY user_id ORDER BY max(value) DESC, lower(event_type)) AS r FROM events WHERE value >= 30 AND event_type NOT IN ('error') GROUP BY user_id, lower(event_type)) x WHERE r <= 15""")
 
 # ------------------------------------------------------------------ state, registry, archive
-relational("c10_apply_delta", f"""
-WITH delta AS (SELECT id, status FROM clusters WHERE last_seen > {NOW - 12 * 3600}), kept AS (SELECT c.id FROM clusters c WHERE c.status = 'active' AND NOT EXISTS (SELECT 1 FROM delta d WHERE d.id = c.id))
-SELECT id FROM kept UNION ALL SELECT id FROM delta WHERE status = 'active'""")
-relational("c11_purge_scope", "SELECT a.id FROM articles a WHERE NOT EXISTS (SELECT 1 FROM (SELECT id FROM articles WHERE language_code NOT IN ('en', 'fr')) p WHERE p.id = a.id)")
 relational("q4_sweeper", f"""
 SELECT id, CASE WHEN enrich_attempts + 1 >= 10 THEN 'dead letter' WHEN id % 2 = 0 THEN 'saved' ELSE 'released' END AS outcome FROM articles
 WHERE enriched_at IS NULL AND crawled_at <= {NOW - 6 * 3600} AND (enrich_claimed_at IS NULL OR enrich_claimed_at < {NOW - 150 * 60}) AND enrich_attempts < 10""")
