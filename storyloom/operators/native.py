@@ -147,34 +147,12 @@ def x2_summary(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.when(body == "", None).when(F.size(good) > 0, F.left(F.array_join(good, " "), F.lit(500))).otherwise(F.left(body, F.lit(500))).alias("summary"))
 
 
-@query("x11_title", "SELECT page_id, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title FROM pages")
-def x11_title(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", F.trim(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
-
-
-@query("x14_first_image", "SELECT page_id, regexp_extract(html, '(?i)<img[^>]+src=\"([^\"]+)\"', 1) AS image FROM pages")
-def x14_first_image(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", '(?i)<img[^>]+src="([^"]+)"', 1).alias("image"))
-
-
-@query("x20_clean_boilerplate", r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
-SELECT doc_id, CAST(count(*) FILTER (NOT regexp_matches(x, '(?i)all rights reserved|copyright|licen[sc]e')) AS INTEGER) AS kept_lines FROM l GROUP BY doc_id""")
-def x20_clean_boilerplate(spark, sf_dir):
-    kept = F.filter(F.split("text", "\n"), lambda x: ~x.rlike("(?i)all rights reserved|copyright|licen[sc]e"))
-    return read(spark, sf_dir, "documents").select("doc_id", F.size(kept).alias("kept_lines"))
-
-
 @query("x20_cleaned_text")
 def x20_cleaned_text(spark, sf_dir):
     """The cleaner itself; x20_clean_boilerplate only counts lines under three patterns."""
     return read(spark, sf_dir, "documents").select("doc_id", T.cleaned_article(F.col("text")).alias("cleaned"))
 
 
-@query("x22_paragraphs", r"SELECT page_id, CAST(len(regexp_extract_all(html, '(?i)<p[^>]*>')) AS INTEGER) AS paragraphs FROM pages")
-def x22_paragraphs(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", F.size(F.regexp_extract_all("html", F.lit("(?i)<p[^>]*>"), 0)).alias("paragraphs"))
-
-
 @query("x25_db_row", "SELECT doc_id, left(split_part(text, chr(10), 1), 1000) AS title, left(text, 2000) AS description, length(left(text, 80000)) AS body_chars FROM documents")
 def x25_db_row(spark, sf_dir):
     clean = F.translate("text", "\u0000", "")

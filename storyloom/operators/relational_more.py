@@ -9,19 +9,11 @@ IST = 19_800
 
 # ------------------------------------------------------------------ scalar rules
 relational("x10_language_name", "SELECT id, left(lower(concat(language_code, '-latin-script')), 5) AS language FROM articles")
-relational("x16_publish_date", f"SELECT id, coalesce(published_at, CASE WHEN id % 3 = 0 THEN crawled_at - 60 END, {NOW}) AS published_at FROM articles")
-relational("x17_ist_and_future_cap", "SELECT id, least(CASE WHEN domain LIKE 'SRC1%' THEN published_at - 19800 ELSE published_at END, crawled_at) AS published_at FROM articles WHERE published_at IS NOT NULL")
-relational("x19_author", "SELECT id, coalesce(CASE WHEN id % 3 = 0 THEN concat('jsonld ', coalesce(domain, '')) END, CASE WHEN id % 3 = 1 THEN 'og' END, 'feed') AS author FROM articles")
-relational("x21_best_fulltext", """
-WITH c AS (SELECT id, 1 AS place, n_chars * (1 - least(4.0 * (id % 40) / 100, 0.9)) AS score FROM articles UNION ALL SELECT id, 2 AS place, n_chars * (1 - least(4.0 * (id % 17) / 100, 0.9)) AS score FROM articles)
-SELECT id, place FROM (SELECT c.*, row_number() OVER (PARTITION BY id ORDER BY round(score, 6) DESC, place) AS k FROM c) x WHERE k = 1""")
 relational("x36_usable_phash", "SELECT event_id, CASE WHEN user_id % 9 = 0 THEN NULL ELSE user_id - 1 END AS phash, lower(trim(event_type)) AS entity FROM events WHERE user_id - 1 NOT IN (0, -1)")
 relational("x38_article_time", f"SELECT id, CASE WHEN published_at IS NULL OR published_at > {NOW + 3600} THEN crawled_at ELSE published_at END AS t FROM articles")
 relational("x39_ist_views", f"SELECT id, CAST(floor((crawled_at + {IST}) / {DAY}) AS BIGINT) AS ist_day, CAST(floor((crawled_at + {IST}) % {DAY} / 3600) AS BIGINT) AS ist_hour FROM articles")
 relational("x40_catalogue_values", """
 SELECT user_id, event_id, lower(event_type) IN ('view', 'click', 'signup') AS flag, CASE WHEN event_type IN ('view', 'click') THEN event_type ELSE 'unknown' END AS cadence, nullif(trim(CASE WHEN event_id % 6 = 0 THEN '  ' ELSE event_type END), '') AS label FROM events""")
-relational("x41_crawl_merge", """
-SELECT id, CASE WHEN length(trim(title)) > 0 THEN title ELSE 'page' END AS title, coalesce(CASE WHEN is_crawled THEN left(body, 2000) END, title) AS description, coalesce(published_at, crawled_at) AS published_at FROM articles""")
 relational("x29_pick_category", """
 WITH s AS (SELECT doc_id, (doc_id % 10) / 10.0 AS sports, (doc_id % 7) / 7.0 AS cricket, (n_chars % 10) / 10.0 AS politics FROM documents)
 SELECT doc_id, CASE WHEN greatest(sports, politics, cricket) < 0.30 THEN 'general' WHEN sports >= politics AND sports >= cricket THEN CASE WHEN cricket >= 0.5 THEN 'cricket' ELSE 'sports' END WHEN cricket > politics THEN 'cricket' ELSE 'politics' END AS category FROM s""")
