@@ -129,7 +129,7 @@ def absolute(base: pd.Series, link: pd.Series) -> pd.Series:
 
 def first_photo(html: Column) -> Column:
     """The src of the first <img> that looks like a photo, as written; null if none does."""
-    found = F.transform(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(f"(?i)<img[^>]+src={_Q}"), 1), F.trim)
+    found = F.transform(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(f"(?i)<img[^>]+src={_Q}"), 1), lambda t: F.trim(t))
     return F.get(F.filter(found, lambda s: (s != "") & ~s.startswith("data:") & ~s.rlike(f"(?i){NO_PHOTO}") & s.rlike(f"(?i){_PHOTO}")), F.lit(0))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -10,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from storyloom.functions.hashes import murmur3_low, sha_heads
+
 WORDS_PER_MINUTE = 200
 
 
@@ -62,28 +66,33 @@ def candidate_score(text: Column, boilerplate: str) -> Column:
     return n * (1 - F.least(4.0 * bad / F.greatest(n, F.lit(1)), F.lit(0.9)))
 
 
+def _folded_words(text: str | None) -> list[str]:
+    return re.findall("[a-z0-9]+", unicodedata.normalize("NFKD", text or "").encode("ascii", "ignore").decode().lower())
+
+
+def simhashes(texts: list[str | None], hashed: Callable[[list[bytes]], np.ndarray]) -> np.ndarray:
+    """64-bit SimHashes: one hash table and sums of bit rows for a batch of texts; no words give 0."""
+    words = [_folded_words(t) for t in texts]
+    out = np.zeros(len(texts), np.int64)
+    known = sorted({w for ws in words for w in ws})
+    if not known:
+        return out
+    bits = np.unpackbits(hashed([w.encode() for w in known]).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.int32) * 2 - 1
+    place = {w: k for k, w in enumerate(known)}
+    for r, ws in enumerate(words):
+        if ws:
+            at, n = np.unique([place[w] for w in ws], return_counts=True)
+            out[r] = np.packbits(n @ bits[at] > 0).view(">i8")[0]
+    return out
+
+
 @F.pandas_udf(LongType())
 def simhash(text: pd.Series) -> pd.Series:
-    """64-bit SimHash over ASCII-folded words, each occurrence a vote; no words give 0."""
-    import hashlib
-    import re
-
-    bits: dict[str, np.ndarray] = {}
-
-    def votes(word: str) -> np.ndarray:
-        if word not in bits:
-            if len(bits) > 200_000:
-                bits.clear()
-            h = np.frombuffer(hashlib.sha256(word.encode()).digest()[:8], np.uint8)
-            bits[word] = np.unpackbits(h).astype(np.int64) * 2 - 1
-        return bits[word]
-
-    def one(t: str | None) -> int:
-        folded = unicodedata.normalize("NFKD", t or "").encode("ascii", "ignore").decode().lower()
-        words = re.findall("[a-z0-9]+", folded)
-        if not words:
-            return 0
-        total = np.sum([votes(w) for w in words], axis=0) > 0
-        return int(np.packbits(total).view(">i8")[0])
-
-    return text.map(one)
+    """SimHash over ASCII-folded words, each occurrence a vote, words hashed by the head of their SHA-256."""
+    return pd.Series(simhashes(text.tolist(), sha_heads))
+
+
+@F.pandas_udf(LongType())
+def murmur_simhash(text: pd.Series) -> pd.Series:
+    """The same with words hashed by Murmur3."""
+    return pd.Series(simhashes(text.tolist(), lambda ws: murmur3_low(ws).view(np.uint64)))

@@ -26,8 +26,12 @@ def has_http_scheme(url: Column) -> Column:
     return F.coalesce(url.rlike(r"(?i)^https?://"), F.lit(False))
 
 
+def _stripped(url: Column) -> Column:
+    return F.regexp_replace(F.coalesce(url, F.lit("")), r"(?U)^\s+|\s+$", "")
+
+
 def with_scheme(url: Column) -> Column:
-    u = F.trim(F.coalesce(url, F.lit("")))
+    u = _stripped(url)
     own = u.rlike(_SCHEME + "//") | u.rlike(r"(?i)^https?:")
     return F.when(u == "", "").when(u.startswith("//"), F.concat(F.lit("https:"), u)).when(own, u).otherwise(F.concat(F.lit("https://"), u))
 
@@ -44,9 +48,12 @@ def _params(query: Column, legacy: bool) -> Column:
 def normalise_url(url: Column, collapse_scheme: bool = True, legacy: bool = False) -> Column:
     """Canonical URL: scheme, host, path without doubled or trailing slashes, sorted parameters that mean something.
 
-    Parameters stay as they are encoded; `normalise_query` is exact where an encoding is unusual.  Null gives ''.
+    Null gives ''.  Queries of plain characters stay in native code; those with an encoding are decoded, sorted and
+    encoded anew in Arrow batches.  legacy: the rules before: any scheme but lower-case http(s):// is taken for a host,
+    http stays, ports stay, and the parameters differ.
     """
-    u = with_scheme(url)
+    u = _stripped(url)
+    u = F.when(u == "", "").when(u.rlike("^https?://"), u).otherwise(F.concat(F.lit("https://"), u)) if legacy else with_scheme(url)
     scheme = F.lower(F.regexp_extract(u, _SCHEME, 1))
     if collapse_scheme and not legacy:
         scheme = F.when(scheme == "http", "https").otherwise(scheme)
@@ -56,19 +63,28 @@ def normalise_url(url: Column, collapse_scheme: bool = True, legacy: bool = Fals
     path = F.regexp_replace(F.regexp_extract(u, r"^[^:/?#]+:(?://[^/?#]*)?([^?#]*)", 1), r";[^/]*$", "")
     path = F.regexp_replace(path, "/{2,}", "/")
     path = F.when(F.length(path) > 1, F.regexp_replace(path, "/+$", "")).otherwise(path)
-    query = _params(F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1), legacy)
+    raw = F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1)
+    plain = raw.rlike("^[A-Za-z0-9_.~=&-]*$")
+    query = F.when(plain, _params(raw, legacy)).otherwise((legacy_query if legacy else normalise_query)(F.when(~plain, raw)))
     return F.when(u == "", "").otherwise(F.concat(scheme, F.lit("://"), host, path, F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))))
 
 
-@F.pandas_udf(StringType())
-def normalise_query(query: pd.Series) -> pd.Series:
-    """A query string decoded, filtered, sorted and encoded anew."""
+def _recoded(gone: frozenset, prefixes: tuple[str, ...]):
+    def one(q: str | None) -> str | None:
+        if q is None:
+            return None
+        return urlencode(sorted((k, v) for k, v in parse_qsl(q) if k.lower() not in gone and not k.lower().startswith(prefixes)))
+
+    @F.pandas_udf(StringType())
+    def run(query: pd.Series) -> pd.Series:
+        return query.map(one)
 
-    def one(q: str | None) -> str:
-        pairs = [(k, v) for k, v in parse_qsl(q or "") if k.lower() not in STRIP_PARAMS and not k.lower().startswith(STRIP_PREFIXES)]
-        return urlencode(sorted(pairs))
+    return run
 
-    return query.map(one)
+
+#: A query string decoded, filtered, sorted and encoded anew; null stays null.
+normalise_query = _recoded(frozenset(STRIP_PARAMS), STRIP_PREFIXES)
+legacy_query = _recoded(frozenset(STRIP_PARAMS + LEGACY_ONLY_PARAMS), ())
 
 
 def signed_sha64(text: Column) -> Column:
@@ -86,6 +102,12 @@ def legacy_url_hash(url: Column) -> Column:
     return signed_sha64(normalise_url(url, legacy=True))
 
 
+def hash_candidates(link: Column, guid: Column) -> Column:
+    """Hashes under which an entry may be stored already: new and legacy ones of its link, or of its id where it has none."""
+    url = F.coalesce(F.nullif(_stripped(link), F.lit("")), guid)
+    return F.array_distinct(F.array(url_hash(url), legacy_url_hash(url)))
+
+
 def domain(url: Column) -> Column:
     return F.regexp_replace(F.lower(F.regexp_extract(with_scheme(url), r"^[^:/?#]+://([^/?#]*)", 1)), r"^www\.", "")
 

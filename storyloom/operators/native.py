@@ -17,58 +17,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ URLs
-_STRIP = ", ".join(f"'{p}'" for p in U.STRIP_PARAMS)
-_PAGE_SQL = rf"""
-p0 AS (SELECT page_id, trim(coalesce(url, '')) AS u FROM pages),
-p1 AS (SELECT page_id, u, regexp_replace(regexp_replace(lower(regexp_extract(u, '^[^:/?#]+://([^/?#]*)', 1)), '^www\.', ''), ':(80|443)$', '') AS host,
-  regexp_replace(regexp_replace(regexp_extract(u, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), ';[^/]*$', ''), '/{{2,}}', '/', 'g') AS path, regexp_extract(u, '^[^?#]*\?([^#]*)', 1) AS query FROM p0),
-p2 AS (SELECT page_id, u, host, CASE WHEN length(path) > 1 THEN regexp_replace(path, '/+$', '') ELSE path END AS path,
-  array_to_string(list_sort(list_filter(string_split(query, '&'), lambda p: regexp_matches(p, '^[^=]*=.') AND lower(split_part(p, '=', 1)) NOT IN ({_STRIP})
-    AND NOT starts_with(lower(p), 'utm_') AND NOT starts_with(lower(p), 'hsa_'))), '&') AS query FROM p1),
-p3 AS (SELECT page_id, u, host, 'https://' || host || path || CASE WHEN query = '' THEN '' ELSE '?' || query END AS canonical FROM p2),
-p4 AS (SELECT *, CAST('0x' || left(sha256(canonical), 16) AS UBIGINT) AS h FROM p3),
-p5 AS (SELECT page_id, u, host, canonical, CASE WHEN h >= 9223372036854775808 THEN CAST(CAST(h AS HUGEINT) - 18446744073709551616 AS BIGINT) ELSE CAST(h AS BIGINT) END AS url_hash FROM p4)"""
-
-
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages with canonical URL and its hash."""
-    out = read(spark, sf_dir, "pages").select("page_id", "url", U.normalise_url(F.col("url")).alias("canonical"))
-    return out.withColumn("url_hash", U.signed_sha64(F.col("canonical")))
-
-
-@query("u1_normalise_url", f"WITH {_PAGE_SQL} SELECT page_id, canonical FROM p5")
-def u1_normalise_url(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", "canonical")
-
-
-@query("u3_url_hash", f"WITH {_PAGE_SQL} SELECT page_id, url_hash FROM p5")
-def u3_url_hash(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", "url_hash")
-
-
-@query("u1_top_hosts", f"""WITH {_PAGE_SQL}, d AS (SELECT host, url_hash FROM (SELECT *, row_number() OVER (PARTITION BY url_hash ORDER BY page_id) AS k FROM p5) x WHERE k = 1)
-SELECT host, CAST(count(*) AS BIGINT) AS pages FROM d GROUP BY host ORDER BY pages DESC, host LIMIT 50""")
-def u1_top_hosts(spark, sf_dir):
-    """The minimum slice: canonical URL, hash, exact dedup, hosts by count."""
-    once = pages(spark, sf_dir).groupBy("url_hash").agg(F.min("canonical").alias("canonical"))
-    return once.groupBy(U.domain(F.col("canonical")).alias("host")).agg(F.count("*").alias("pages")).orderBy(F.desc("pages"), "host").limit(50)
-
-
-@query("u2_legacy_normalise")
-def u2_legacy_normalise(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", U.normalise_url(F.col("url"), legacy=True).alias("legacy"))
-
-
 @query("u5_http_scheme", "SELECT page_id, regexp_matches(coalesce(url, ''), '(?i)^https?://') AS http FROM pages")
 def u5_http_scheme(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", U.has_http_scheme(F.col("url")).alias("http"))
 
 
-@query("u6_hash_candidates")
-def u6_hash_candidates(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", F.array_distinct(F.array(U.url_hash(F.col("url")), U.legacy_url_hash(F.col("url")))).alias("candidates"))
-
-
 @query("u7_host_key", r"SELECT page_id, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(trim(url), '^[^:/?#]+://([^/?#:]*)', 1)), '^www\.', ''), '^m\.', ''), '^amp\.', '') AS host FROM pages")
 def u7_host_key(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", U.host_key(F.col("url")).alias("host"))
@@ -95,39 +48,7 @@ def u13_seeded_order(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.md5(F.concat(F.col("doc_id").cast("string"), F.lit("seed")).cast("binary")).alias("o")).orderBy("o").limit(40)
 
 
-@query("j1_exact_dedup", f"""WITH {_PAGE_SQL}, stored AS (SELECT DISTINCT url_hash FROM p5 WHERE page_id % 2 = 0), batch AS (SELECT *, row_number() OVER (PARTITION BY url_hash ORDER BY page_id) AS k FROM p5 WHERE page_id % 2 = 1)
-SELECT page_id, url_hash FROM batch b WHERE k = 1 AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.url_hash = b.url_hash)""")
-def j1_exact_dedup(spark, sf_dir):
-    own = pages(spark, sf_dir)
-    first = own.filter("page_id % 2 = 1").groupBy("url_hash").agg(F.min("page_id").alias("page_id"))
-    return first.join(own.filter("page_id % 2 = 0").select("url_hash"), "url_hash", "left_anti").select("page_id", "url_hash")
-
-
 # ------------------------------------------------------------------ near-duplicate titles
-def simhash_pairs(hashes: DataFrame, most: int = 3) -> DataFrame:
-    """(a, b, distance) within `most` bits, 0 ignored: four 16-bit bands, one of which must agree; equal hashes meet once.
-
-    Ids of one hash are represented by the smallest, so a frequent hash gives one row to the join.
-    """
-    ones = hashes.filter("h <> 0").groupBy("h").agg(F.min("id").alias("id"))
-    band = F.posexplode(F.array(*[F.shiftrightunsigned("h", 16 * k).bitwiseAND(F.lit(65535)) for k in range(4)])).alias("band", "bits")
-    banded = ones.select("id", "h", band)
-    a, b = banded.toDF("a", "ha", "band", "bits"), banded.toDF("b", "hb", "band", "bits")
-    pairs = a.join(b, ["band", "bits"]).filter("a < b").withColumn("distance", U.hamming(F.col("ha"), F.col("hb"))).filter(F.col("distance") <= most)
-    return pairs.select("a", "b", "distance").distinct()
-
-
-@query("u9_simhash")
-def u9_simhash(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", T.simhash("text").alias("simhash"))
-
-
-@query("j2_near_titles")
-def j2_near_titles(spark, sf_dir):
-    title = F.substring_index("text", "\n", 1)
-    return simhash_pairs(read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), T.simhash(title).alias("h")))
-
-
 # ------------------------------------------------------------------ texts
 _TRIM = r"regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g')"
 
@@ -143,7 +64,7 @@ def x1_text_stats(spark, sf_dir):
 def x2_summary(spark, sf_dir):
     """The first three sentences of 30 characters or more, 500 characters at most."""
     body = F.trim("text")
-    good = F.slice(F.filter(F.transform(F.split(body, r"(?<=[.!?।])\s+(?=[A-Zऀ-ॿ؀-ۿ])"), F.trim), lambda s: F.length(s) >= 30), 1, 3)
+    good = F.slice(F.filter(F.transform(F.split(body, r"(?<=[.!?।])\s+(?=[A-Zऀ-ॿ؀-ۿ])"), lambda t: F.trim(t)), lambda s: F.length(s) >= 30), 1, 3)
     return read(spark, sf_dir, "documents").select("doc_id", F.when(body == "", None).when(F.size(good) > 0, F.left(F.array_join(good, " "), F.lit(500))).otherwise(F.left(body, F.lit(500))).alias("summary"))
 
 

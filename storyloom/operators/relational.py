@@ -81,12 +81,6 @@ relational("f1_due_feeds", f"""
 SELECT id, CASE WHEN is_active THEN 'due' ELSE 'recheck' END AS why FROM feeds
 WHERE (is_active AND (last_polled_at IS NULL OR {NOW} - last_polled_at >= 60 * 0.9 * {_CADENCE})) OR (NOT is_active AND disabled_reason = 'dormant' AND (last_polled_at IS NULL OR {NOW} - last_polled_at >= {7 * DAY}))""")
 relational("f2_skip_feed", "SELECT id, NOT is_active AND coalesce(disabled_reason, '') <> 'dormant' AS skip FROM feeds")
-relational("f3_feed_transition", f"""
-WITH polled AS (SELECT f.*, f.id % 3 <> 0 AS success, f.id % 5 AS new_articles, f.id % 16 = 7 AS reactivate, f.id % 10 = 1 AS dormant FROM feeds f)
-SELECT id, CASE WHEN success THEN 0 ELSE fail_count + 1 END AS fail_count, CASE WHEN success AND new_articles > 0 THEN {NOW} ELSE last_new_article_at END AS last_new_article_at,
-       CASE WHEN success AND reactivate THEN true WHEN NOT success AND fail_count + 1 >= 5 THEN false WHEN success AND dormant THEN false ELSE is_active END AS is_active,
-       CASE WHEN success AND reactivate THEN NULL WHEN NOT success AND fail_count + 1 >= 5 THEN 'errors' WHEN success AND dormant THEN 'dormant' ELSE disabled_reason END AS disabled_reason FROM polled""")
-relational("f4_dormancy", f"SELECT id, CAST(floor(({NOW} - last_new_article_at) / {DAY}) AS BIGINT) AS idle_days, floor(({NOW} - last_new_article_at) / {DAY}) >= 30 AS dormant FROM feeds")
 
 # ------------------------------------------------------------------ joins
 relational("j7_feeds_left_join", f"SELECT f.id, CAST(count(e.event_id) AS BIGINT) AS recent FROM feeds f LEFT JOIN events e ON e.user_id = f.id AND e.value > 50 GROUP BY f.id")
@@ -126,14 +120,7 @@ _CLAIMABLE = f"""enriched_at IS NULL AND title IS NOT NULL AND crawled_at <= {NO
   AND (enrich_attempts < 3 OR (enrich_attempts < 10 AND enrich_claimed_at < {NOW - DAY}))"""
 relational("q1_claim_batch", f"SELECT id, {NOW} AS enrich_claimed_at, enrich_attempts + 1 AS enrich_attempts FROM articles WHERE {_CLAIMABLE} ORDER BY crawled_at, id LIMIT 50")
 relational("q2_release_claims", f"SELECT id, CASE WHEN enriched_at IS NULL AND enrich_claimed_at IS NOT NULL AND id % 2 = 0 THEN greatest(enrich_attempts - 1, 0) ELSE enrich_attempts END AS enrich_attempts FROM articles")
-relational("q3_mark_failed", "SELECT id, left(concat('error: ', title), 1000) AS enrich_error FROM articles WHERE enriched_at IS NULL AND id % 10 = 3")
-relational("v3_prune_verified_day", f"""
-WITH log AS (SELECT CAST(floor(crawled_at / {DAY}) AS BIGINT) AS day, count(*) AS archived FROM articles GROUP BY 1), verified AS (SELECT day FROM log WHERE day < {NOW // DAY - 3})
-SELECT a.id FROM articles a LEFT JOIN verified v ON v.day = CAST(floor(a.crawled_at / {DAY}) AS BIGINT) WHERE v.day IS NULL""")
 relational("w8_prune_oldest", "SELECT id FROM (SELECT id, row_number() OVER (ORDER BY id DESC) AS k FROM articles) x WHERE k > 300 ORDER BY id LIMIT 200")
-relational("k1_upsert_returning", """
-WITH stored AS (SELECT DISTINCT md5(text) AS h FROM documents WHERE doc_id % 2 = 0), batch AS (SELECT doc_id, md5(text) AS h, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS k FROM documents WHERE doc_id % 2 = 1)
-SELECT b.doc_id FROM batch b WHERE b.k = 1 AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.h = b.h)""")
 relational("r8_cluster_keys_except", "SELECT DISTINCT source FROM documents WHERE n_chars > 3000 EXCEPT SELECT DISTINCT source FROM documents WHERE n_chars > 12000")
 relational("streak_breaker", """
 WITH e AS (SELECT user_id, event_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS bad, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS grp FROM events),

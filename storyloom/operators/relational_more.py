@@ -37,17 +37,7 @@ relational("f9_evidence", """
 SELECT user_id, k FROM (SELECT user_id, lower(event_type) AS k, row_number() OVER (PARTITION BY user_id ORDER BY max(value) DESC, lower(event_type)) AS r FROM events WHERE value >= 30 AND event_type NOT IN ('error') GROUP BY user_id, lower(event_type)) x WHERE r <= 15""")
 
 # ------------------------------------------------------------------ state, registry, archive
-relational("q4_sweeper", f"""
-SELECT id, CASE WHEN enrich_attempts + 1 >= 10 THEN 'dead letter' WHEN id % 2 = 0 THEN 'saved' ELSE 'released' END AS outcome FROM articles
-WHERE enriched_at IS NULL AND crawled_at <= {NOW - 6 * 3600} AND (enrich_claimed_at IS NULL OR enrich_claimed_at < {NOW - 150 * 60}) AND enrich_attempts < 10""")
-relational("k10_catalogue_upsert", "SELECT f.id FROM feeds f WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = f.id AND c.c_acctbal > 0)")
-relational("k12_coverage_upsert", """
-WITH old AS (SELECT o_orderkey % 50 AS day, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1), new AS (SELECT o_orderkey % 50 AS day, count(*) AS n FROM orders WHERE o_orderkey % 5 = 0 GROUP BY 1)
-SELECT coalesce(n.day, o.day) AS day, CAST(coalesce(n.n, o.n) AS BIGINT) AS n FROM old o FULL OUTER JOIN new n ON n.day = o.day""")
 relational("s5_since", f"SELECT id, coalesce(last_polled_at, {NOW - DAY}) - 10800 AS since FROM feeds")
-relational("v1_export_parts", f"""
-SELECT CAST(floor(crawled_at / {DAY}) AS BIGINT) AS day, CAST(floor((k - 1) / 100) AS BIGINT) AS part, CAST(count(*) AS BIGINT) AS n, min(id) AS min_id, max(id) AS max_id FROM (
-SELECT id, crawled_at, row_number() OVER (PARTITION BY floor(crawled_at / {DAY}) ORDER BY id) AS k FROM articles) x GROUP BY 1, 2""")
 relational("v4_archive_days", f"""
 WITH days AS (SELECT DISTINCT CAST(floor(crawled_at / {DAY}) AS BIGINT) AS day FROM articles WHERE crawled_at < {NOW - 2 * DAY}), log AS (SELECT DISTINCT CAST(floor(crawled_at / {DAY}) AS BIGINT) AS day FROM articles WHERE id % 997 = 3)
 SELECT d.day FROM days d LEFT JOIN log l ON l.day = d.day WHERE l.day IS NULL""")
