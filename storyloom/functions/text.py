@@ -14,30 +14,9 @@ from pyspark.sql.types import LongType
 
 from storyloom.functions.hashes import murmur3_low, sha_heads
 
-WORDS_PER_MINUTE = 200
 
 
-def word_count(text: Column) -> Column:
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"(?U)\s+"), lambda w: w != ""))
-
-
-def reading_minutes(words: Column) -> Column:
-    """Minutes to one decimal; halves go to the even digit of the binary value, as floats print."""
-    return F.round(words / F.lit(float(WORDS_PER_MINUTE)), 1)
-
-
-def first_text(*texts: Column) -> Column:
-    """The first that is not blank, trimmed."""
-    return F.coalesce(*[F.nullif(F.trim(t), F.lit("")) for t in texts], F.lit(""))
-
-
-def clean_boilerplate(text: Column, patterns: list[str]) -> Column:
-    """Drop lines that match a pattern; no more than one blank line in a row."""
-    kept = F.filter(F.split(text, "\n"), lambda x: ~x.rlike("(?i)" + "|".join(patterns)))
-    return F.trim(F.regexp_replace(F.array_join(kept, "\n"), "\n{3,}", "\n\n"))
-
-
-#: Lines that the reference's cleaner drops wherever one of these stands.
+# A line that holds one of these is no article text.
 ARTICLE_BOILERPLATE = (
     r"also\s+read|read\s+also|read\s+more|more\s+on\s+this", r"related\s+(news|stories|articles|coverage)", r"you\s+may\s+(also\s+)?like|don.t\s+miss",
     r"subscribe\s+(to|now|for|here)|sign\s+up\s+(for|to|here)", r"join\s+our\s+(newsletter|channel|group|community|telegram|whatsapp)", r"follow\s+us\s+on|download\s+(the\s+)?(app|our\s+app)",
@@ -59,13 +38,6 @@ def cleaned_article(text: Column) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(out, r"(?U)\btext_fields\b", ""), "  +", " "))
 
 
-def candidate_score(text: Column, boilerplate: str) -> Column:
-    """Words, discounted by the share of boilerplate words up to nine tenths."""
-    n = word_count(text)
-    bad = F.size(F.regexp_extract_all(text, F.lit(f"(?i)({boilerplate})"), 1))
-    return n * (1 - F.least(4.0 * bad / F.greatest(n, F.lit(1)), F.lit(0.9)))
-
-
 def _folded_words(text: str | None) -> list[str]:
     return re.findall("[a-z0-9]+", unicodedata.normalize("NFKD", text or "").encode("ascii", "ignore").decode().lower())
 

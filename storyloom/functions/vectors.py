@@ -1,9 +1,8 @@
-"""Vector rules: dot products, guards, centroids and linear heads as native expressions."""
+"""Vector rules: dot products, guards and sums as native expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -30,22 +29,3 @@ def vector_sum(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
     parts = df.select(*keys, F.posexplode(vector).alias("at", "x")).groupBy(*keys, "at").agg(F.sum(F.col("x").cast("double")).alias("x"), F.count("*").alias("n"))
     whole = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("at", "x"))).alias("v"), F.max("n").alias("n"))
     return whole.select(*keys, F.col("v.x").alias("sum"), "n")
-
-
-def tag_head(vectors: DataFrame, weights: DataFrame, limit: int = 3) -> DataFrame:
-    """vectors: vec_id, embedding; weights: tag, w (array), bias, threshold -> vec_id, place, tag, p.
-
-    Sigmoid of a linear score for each tag; tags at or above their own threshold, best first, at most `limit`.
-    """
-    scored = vectors.crossJoin(F.broadcast(weights)).withColumn("score", dot(F.col("embedding"), F.col("w")) + F.col("bias"))  # a fixed table of tags
-    scored = scored.withColumn("p", 1 / (1 + F.exp(-F.col("score")))).filter("p >= threshold")
-    place = F.row_number().over(W.partitionBy("vec_id").orderBy(F.desc("score"), "tag"))
-    return scored.withColumn("place", place).filter(F.col("place") <= limit).select("vec_id", "place", "tag", "p")
-
-
-def softmax_head(scores: Column) -> Column:
-    """Probabilities of a map of raw scores."""
-    top = F.array_max(F.map_values(scores))
-    weights = F.transform_values(scores, lambda k, v: F.exp(v - top))
-    total = F.aggregate(F.map_values(weights), F.lit(0.0), lambda s, v: s + v)
-    return F.transform_values(weights, lambda k, v: v / total)

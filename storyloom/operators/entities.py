@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+# Names that occur with almost any story, or sign it, and so are no evidence.
+STOP = (
+    "india", "indian", "indians", "bharat", "new delhi", "delhi", "centre", "government", "govt", "the government", "union government", "pti", "ani", "ians", "reuters", "afp", "ap", "uni", "bloomberg", "x", "twitter", "facebook",
+    "instagram", "youtube", "whatsapp", "today", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday", "भारत", "दिल्ली", "सरकार", "केंद्र",
+)
 EVIDENCE_TYPES = ("PERSON", "ORG", "GPE", "EVENT", "LAW", "PRODUCT")
 
 
@@ -17,7 +22,7 @@ def salience(entity: Column, title: Column, body: Column, mentions: Column) -> C
 
 
 def entities(mentions: DataFrame, articles: DataFrame, least: float = 0.1, most: int = 30) -> DataFrame:
-    """mentions: article_id, position, text, type -> article_id, entity_text, entity_type, salience, the best `most`.
+    """mentions: article_id, position, text, type -> article_id, entity_text, entity_type, salience, at (first position), k (rank): the best `most`.
 
     First spelling and type count; texts under two characters and places written all in lower case go.
     """
@@ -25,15 +30,15 @@ def entities(mentions: DataFrame, articles: DataFrame, least: float = 0.1, most:
     once = m.groupBy("article_id", F.lower("text").alias("key")).agg(F.count("*").alias("n"), F.min_by(F.struct("text", "type"), "position").alias("first"), F.min("position").alias("at"))
     scored = once.join(articles.select("article_id", "title", "body"), "article_id").withColumn("salience", salience(F.col("first.text"), F.col("title"), F.col("body"), F.col("n")))
     ranked = scored.filter(F.col("salience") >= least).withColumn("k", F.row_number().over(W.partitionBy("article_id").orderBy(F.desc("salience"), "at")))
-    return ranked.filter(F.col("k") <= most).select("article_id", F.col("first.text").alias("entity_text"), F.col("first.type").alias("entity_type"), "salience")
+    return ranked.filter(F.col("k") <= most).select("article_id", F.col("first.text").alias("entity_text"), F.col("first.type").alias("entity_type"), "salience", "at", "k")
 
 
 def evidence(found: DataFrame, stop: list[str], least: float = 0.3, most: int = 15) -> DataFrame:
     """Entity keys that count as evidence for one story: salient, of the listed types, not on the stop list."""
     key = F.lower(F.regexp_replace(F.trim("entity_text"), r"\s+", " "))
     rows = found.filter((F.col("salience") >= least) & F.col("entity_type").isin(*EVIDENCE_TYPES)).withColumn("key", key).filter((F.length("key") >= 2) & ~F.col("key").isin(*stop))
-    once = rows.groupBy("article_id", "key").agg(F.max("salience").alias("salience"))
-    ranked = once.withColumn("k", F.row_number().over(W.partitionBy("article_id").orderBy(F.desc("salience"), "key"))).filter(F.col("k") <= most)
+    once = rows.groupBy("article_id", "key").agg(F.max("salience").alias("salience"), F.min("k").alias("order"))
+    ranked = once.withColumn("k", F.row_number().over(W.partitionBy("article_id").orderBy(F.desc("salience"), "order"))).filter(F.col("k") <= most)
     return ranked.groupBy("article_id").agg(F.sort_array(F.collect_list(F.struct("k", "key"))).getField("key").alias("keys"))
 
 

@@ -53,21 +53,6 @@ def u13_seeded_order(spark, sf_dir):
 _TRIM = r"regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g')"
 
 
-@query("x1_text_stats", rf"""WITH t AS (SELECT doc_id, {_TRIM} AS t FROM documents), w AS (SELECT doc_id, CASE WHEN t = '' THEN 0 ELSE len(regexp_split_to_array(t, '\s+')) END AS n FROM t)
-SELECT doc_id, CAST(n AS INTEGER) AS word_count, round(n / 200.0, 1) AS reading_mins FROM w""")
-def x1_text_stats(spark, sf_dir):
-    n = T.word_count(F.col("text"))
-    return read(spark, sf_dir, "documents").select("doc_id", n.alias("word_count"), T.reading_minutes(n).alias("reading_mins"))
-
-
-@query("x2_summary")
-def x2_summary(spark, sf_dir):
-    """The first three sentences of 30 characters or more, 500 characters at most."""
-    body = F.trim("text")
-    good = F.slice(F.filter(F.transform(F.split(body, r"(?<=[.!?।])\s+(?=[A-Zऀ-ॿ؀-ۿ])"), lambda t: F.trim(t)), lambda s: F.length(s) >= 30), 1, 3)
-    return read(spark, sf_dir, "documents").select("doc_id", F.when(body == "", None).when(F.size(good) > 0, F.left(F.array_join(good, " "), F.lit(500))).otherwise(F.left(body, F.lit(500))).alias("summary"))
-
-
 @query("x20_cleaned_text")
 def x20_cleaned_text(spark, sf_dir):
     """The cleaner itself; x20_clean_boilerplate only counts lines under three patterns."""
@@ -80,13 +65,6 @@ def x25_db_row(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.left(F.substring_index(clean, "\n", 1), F.lit(1000)).alias("title"), F.left(clean, F.lit(2000)).alias("description"), F.length(F.left(clean, F.lit(80000))).alias("body_chars"))
 
 
-@query("x28_sentiment_rule", """WITH p AS (SELECT event_id, value / 200.0 AS pos, (event_id % 100) / 150.0 AS neg FROM events)
-SELECT event_id, CASE WHEN pos >= 0.4 THEN 'positive' WHEN neg >= 0.4 THEN 'negative' ELSE 'neutral' END AS label FROM p""")
-def x28_sentiment_rule(spark, sf_dir):
-    pos, neg = F.col("value") / 200.0, F.col("event_id") % 100 / 150.0
-    return read(spark, sf_dir, "events").select("event_id", F.when(pos >= 0.4, "positive").when(neg >= 0.4, "negative").otherwise("neutral").alias("label"))
-
-
 @query("x37_norm_domain", "SELECT page_id, coalesce(nullif(trim(lower(CASE WHEN page_id % 9 = 0 THEN '  ' WHEN page_id % 10 = 0 THEN NULL ELSE ' Ex.COM ' END)), ''), '(unknown)') AS domain FROM pages")
 def x37_norm_domain(spark, sf_dir):
     raw = F.expr("CASE WHEN page_id % 9 = 0 THEN '  ' WHEN page_id % 10 = 0 THEN NULL ELSE ' Ex.COM ' END")
@@ -94,24 +72,6 @@ def x37_norm_domain(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ arrays and sets
-@query("r1_merge_top_entities", """WITH w AS (SELECT user_id, lower(event_type) AS k, count(*) AS n FROM events GROUP BY 1, 2)
-SELECT user_id, k AS entity, CAST(n AS BIGINT) AS n FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, k) AS r FROM w) x WHERE r <= 3""")
-def r1_merge_top_entities(spark, sf_dir):
-    n = read(spark, sf_dir, "events").groupBy("user_id", F.lower("event_type").alias("entity")).agg(F.count("*").alias("n"))
-    return n.withColumn("r", F.row_number().over(W.partitionBy("user_id").orderBy(F.desc("n"), "entity"))).filter("r <= 3").select("user_id", "entity", "n")
-
-
-@query("r2_ordered_union", """SELECT doc_id, array_to_string(list_slice(list_distinct_ordered, 1, 3), ',') AS u FROM (
-SELECT doc_id, CASE WHEN lang = 'en' THEN ['en', source] ELSE ['en', lang, source] END AS list_distinct_ordered FROM documents) x""")
-def r2_ordered_union(spark, sf_dir):
-    both = F.concat(F.array(F.lit("en"), F.col("lang")), F.array(F.lit(""), F.lit("en"), F.col("source")))
-    return read(spark, sf_dir, "documents").select("doc_id", F.array_join(F.slice(F.filter(F.array_distinct(both), lambda x: x != ""), 1, 3), ",").alias("u"))
-
-
-@query("r3_merge_image_hashes", """SELECT h, d FROM (SELECT value AS v, user_id % 50 AS h, event_id AS d, row_number() OVER (PARTITION BY user_id % 50 ORDER BY event_id DESC) AS k FROM events) x WHERE k = 1 ORDER BY d DESC LIMIT 30""")
-def r3_merge_image_hashes(spark, sf_dir):
-    last = read(spark, sf_dir, "events").groupBy((F.col("user_id") % 50).alias("h")).agg(F.max("event_id").alias("d"))
-    return last.orderBy(F.desc("d")).limit(30)
 
 
 @query("r4_shared_entities", "SELECT a.doc_id, CAST(len(list_intersect([a.lang, a.source], ['en', 'src1', 'src2'])) AS INTEGER) AS shared FROM documents a")
@@ -144,25 +104,6 @@ def a19_threshold_sweep(spark, sf_dir):
 # ------------------------------------------------------------------ vectors
 
 
-@query("x31_category_head")
-def x31_category_head(spark, sf_dir):
-    """A linear head: weights are a table (label centroids here), joined by position; argmax with its probability."""
-    e = read(spark, sf_dir, "embeddings")
-    w = V.vector_sum(e, ["label"], "embedding").select("label", F.posexplode("sum").alias("at", "w"))
-    raw = e.select("vec_id", F.posexplode("embedding").alias("at", "x")).join(w, "at").groupBy("vec_id", "label").agg(F.sum(F.col("x") * F.col("w")).alias("s"))
-    p = F.exp(F.col("s")) / F.sum(F.exp("s")).over(W.partitionBy("vec_id"))
-    return raw.withColumn("p", p).groupBy("vec_id").agg(F.max_by("label", F.struct("p", -F.col("label"))).alias("category"), F.round(F.max("p"), 6).alias("confidence"))
-
-
-@query("x32_tag_head_vectors")
-def x32_tag_head_vectors(spark, sf_dir):
-    """The head itself, with a table of weights (label centroids here); x32_tag_head reads no vector."""
-    e = read(spark, sf_dir, "embeddings").filter(V.valid(F.col("embedding"), 64))
-    mean = F.transform("sum", lambda x: x / F.col("n"))
-    weights = V.vector_sum(e, ["label"], "embedding").select(F.col("label").alias("tag"), mean.alias("w"), F.lit(0.0).alias("bias"), F.when(F.col("label") < 5, 0.4).otherwise(0.6).alias("threshold"))
-    return V.tag_head(e.select("vec_id", "embedding"), weights)
-
-
 # ------------------------------------------------------------------ events: windows and sessions
 @query("tumbling_day", "SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS day, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
 def tumbling_day(spark, sf_dir):

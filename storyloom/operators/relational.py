@@ -16,11 +16,6 @@ relational("a2_coverage_summary", """
 WITH rows AS (SELECT id % 5 AS day, language_code AS reference, n_chars % 50 AS ref_count, CASE WHEN id % 9 = 0 THEN n_chars % 7 ELSE 0 END AS missing FROM articles)
 SELECT CAST(day AS BIGINT) AS day, reference, CAST(sum(ref_count) AS BIGINT) AS ref_count, CAST(sum(missing) AS BIGINT) AS missing,
        round(100.0 * CAST(sum(missing) AS DOUBLE) / nullif(CAST(sum(ref_count) AS DOUBLE), 0), 2) AS miss_pct FROM rows GROUP BY 1, 2""")
-relational("a3_cluster_health", f"""
-WITH c AS (SELECT count(*) FILTER (WHERE status = 'active') AS active, count(*) FILTER (WHERE status = 'merged') AS merged, count(*) FILTER (WHERE article_count = 1) AS singletons, max(article_count) AS largest FROM clusters),
-a AS (SELECT count(*) FILTER (WHERE cluster_id IS NULL) AS waiting, count(*) AS recent FROM articles WHERE crawled_at > {NOW - DAY})
-SELECT CAST(active AS BIGINT) AS active, CAST(merged AS BIGINT) AS merged, CAST(singletons AS BIGINT) AS singletons, CAST(largest AS BIGINT) AS largest, CAST(waiting AS BIGINT) AS waiting,
-       round(100.0 * CAST(waiting AS DOUBLE) / nullif(CAST(recent AS DOUBLE), 0), 2) AS waiting_pct FROM c CROSS JOIN a""")
 relational("a4_enrichment_queue_health", f"""
 SELECT CAST(count(*) FILTER (WHERE enriched_at IS NULL) AS BIGINT) AS pending,
        CAST(count(*) FILTER (WHERE enriched_at IS NULL AND enrich_claimed_at IS NULL) AS BIGINT) AS unclaimed,
@@ -30,9 +25,6 @@ SELECT CAST(count(*) FILTER (WHERE enriched_at IS NULL) AS BIGINT) AS pending,
        CAST(count(*) FILTER (WHERE enriched_at IS NULL AND enrich_attempts >= 10) AS BIGINT) AS dead,
        CAST(count(*) FILTER (WHERE enriched_at > {NOW - DAY}) AS BIGINT) AS enriched_24h,
        CAST(floor(({NOW} - min(crawled_at) FILTER (WHERE enriched_at IS NULL)) / 60) AS BIGINT) AS head_age_mins FROM articles""")
-relational("a5_enrichment_health", """
-SELECT CAST(count(*) AS BIGINT) AS articles, CAST(count(enriched_at) AS BIGINT) AS enriched, CAST(count(cluster_id) AS BIGINT) AS clustered, CAST(count(published_at) AS BIGINT) AS dated,
-       (SELECT CAST(count(*) AS BIGINT) FROM clusters) AS clusters, (SELECT CAST(max(article_count) AS BIGINT) FROM clusters) AS largest FROM articles""")
 relational("a6_article_stats", f"""
 SELECT {_DOM} AS domain, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (WHERE is_crawled) AS BIGINT) AS crawled, round(100.0 * count(*) FILTER (WHERE is_crawled) / count(*), 1) AS crawl_pct,
        max(crawled_at) AS newest FROM articles GROUP BY 1""")
@@ -47,29 +39,6 @@ relational("a14_lincoln_petersen", """
 WITH a AS (SELECT count(DISTINCT md5(text)) AS n1 FROM documents WHERE doc_id % 2 = 0), b AS (SELECT count(DISTINCT md5(text)) AS n2 FROM documents WHERE doc_id % 2 = 1),
 m AS (SELECT count(DISTINCT md5(x.text)) AS m FROM documents x WHERE x.doc_id % 2 = 0 AND md5(x.text) IN (SELECT md5(y.text) FROM documents y WHERE y.doc_id % 2 = 1))
 SELECT CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, CAST(m AS BIGINT) AS m, CASE WHEN n1 = 0 OR n2 = 0 THEN NULL ELSE round(CAST((n1 + 1) * (n2 + 1) AS DOUBLE) / (m + 1) - 1, 4) END AS universe FROM a CROSS JOIN b CROSS JOIN m""")
-relational("a15_alerts", f"""
-WITH d AS (SELECT {_DOM} AS domain, count(*) FILTER (WHERE crawled_at > {NOW - DAY}) AS today, count(*) FILTER (WHERE crawled_at <= {NOW - DAY} AND crawled_at > {NOW - 2 * DAY}) AS before, count(*) FILTER (WHERE NOT is_crawled) AS missing, count(*) AS urls FROM articles GROUP BY 1)
-SELECT domain, CASE WHEN urls >= 20 AND missing > 0.02 * urls THEN 1 ELSE 0 END AS miss_alert, CASE WHEN before >= 20 AND today < 0.5 * before THEN 1 ELSE 0 END AS yield_alert FROM d""")
-relational("a16_cohen_kappa", """
-WITH p AS (SELECT quality AS a, toxic AS b FROM labels), n AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE a = b) AS DOUBLE) AS agree FROM p),
-pe AS (SELECT sum(x.c * coalesce(y.c, 0)) AS s FROM (SELECT a AS k, CAST(count(*) AS DOUBLE) AS c FROM p GROUP BY a) x LEFT JOIN (SELECT b AS k, CAST(count(*) AS DOUBLE) AS c FROM p GROUP BY b) y ON x.k = y.k)
-SELECT round(agree / n, 6) AS observed, round(s / (n * n), 6) AS expected, CASE WHEN s = n * n THEN 1.0 ELSE round((agree / n - s / (n * n)) / (1 - s / (n * n)), 6) END AS kappa FROM n CROSS JOIN pe""")
-relational("a17_micro_macro_f1", """
-WITH t AS (SELECT quality AS tag, count(*) FILTER (WHERE quality = 1 - toxic) AS tp, count(*) AS support FROM labels GROUP BY quality), p AS (SELECT 1 - toxic AS tag, count(*) AS predicted FROM labels GROUP BY 1 - toxic),
-j AS (SELECT coalesce(t.tag, p.tag) AS tag, coalesce(tp, 0) AS tp, coalesce(support, 0) AS support, coalesce(predicted, 0) AS predicted FROM t FULL OUTER JOIN p ON t.tag = p.tag)
-SELECT round(CAST(sum(tp) AS DOUBLE) / CAST(sum(predicted) AS DOUBLE), 6) AS micro_p, round(CAST(sum(tp) AS DOUBLE) / CAST(sum(support) AS DOUBLE), 6) AS micro_r,
-       round(avg(CASE WHEN support > 0 THEN 2.0 * tp / (support + predicted) END), 6) AS macro_f1 FROM j""")
-relational("a18_accuracy_confusion", """
-SELECT quality AS gold, toxic AS said, CAST(count(*) AS BIGINT) AS n FROM labels WHERE quality <> toxic GROUP BY 1, 2 ORDER BY n DESC, gold, said LIMIT 8""")
-relational("a19_roc_auc", """
-WITH s AS (SELECT l.quality AS y, CAST(d.n_chars AS DOUBLE) AS s FROM labels l JOIN documents d ON d.doc_id = l.doc_id),
-r AS (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS rk FROM s),
-g AS (SELECT CAST(sum(CASE WHEN y = 1 THEN rk ELSE 0 END) AS DOUBLE) AS pos, CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) AS np, CAST(count(*) FILTER (WHERE y = 0) AS DOUBLE) AS nn FROM r)
-SELECT CASE WHEN np = 0 OR nn = 0 THEN NULL ELSE round((pos - np * (np + 1) / 2) / (np * nn), 6) END AS auc FROM g""")
-relational("a20_pairwise_quality", """
-WITH m AS (SELECT label AS c, CAST(vec_id % 11 AS INT) AS g FROM embeddings), pred AS (SELECT sum(n * (n - 1) / 2.0) AS x FROM (SELECT count(*) AS n FROM m GROUP BY c)), gold AS (SELECT sum(n * (n - 1) / 2.0) AS x FROM (SELECT count(*) AS n FROM m GROUP BY g)),
-hit AS (SELECT sum(n * (n - 1) / 2.0) AS x FROM (SELECT count(*) AS n FROM m GROUP BY c, g))
-SELECT round(CAST(hit.x AS DOUBLE) / CAST(pred.x AS DOUBLE), 6) AS p, round(CAST(hit.x AS DOUBLE) / CAST(gold.x AS DOUBLE), 6) AS r, round(2 * CAST(hit.x AS DOUBLE) / (CAST(pred.x AS DOUBLE) + CAST(gold.x AS DOUBLE)), 6) AS f1 FROM hit CROSS JOIN pred CROSS JOIN gold""")
 relational("a22_run_summary", "SELECT event_type AS outcome, CAST(count(*) AS BIGINT) AS n, round(sum(value), 2) AS total FROM events GROUP BY event_type")
 relational("a23_modal_category", """
 WITH n AS (SELECT cluster_id, language_code, count(*) AS n FROM articles WHERE cluster_id IS NOT NULL GROUP BY 1, 2)
@@ -96,7 +65,6 @@ SELECT CAST(count(*) AS BIGINT) AS ref_count, CAST(count(ours.h) AS BIGINT) AS s
 relational("j15_latest_previous", f"""
 WITH d AS (SELECT {_DOM} AS domain, CAST(floor(crawled_at / {DAY}) AS BIGINT) AS day, count(*) AS n FROM articles GROUP BY 1, 2)
 SELECT domain, day, CAST(n AS BIGINT) AS last_yield FROM (SELECT d.*, row_number() OVER (PARTITION BY domain ORDER BY day DESC) AS k FROM d WHERE day < {NOW // DAY - 1}) x WHERE k = 1""")
-relational("j16_gold_vs_prediction", "SELECT l.doc_id, l.quality AS gold, coalesce(CASE WHEN d.n_chars > 500 THEN 1 END, 0) AS predicted FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id")
 
 # ------------------------------------------------------------------ windows, sorts, limits
 relational("w1_top_mentions", """
@@ -113,14 +81,12 @@ relational("w10_stratified_sample", """
 WITH a AS (SELECT doc_id, lang, source, md5(concat(CAST(doc_id AS VARCHAR(20)), 'seed')) AS o FROM documents), b AS (SELECT a.*, row_number() OVER (PARTITION BY lang, source ORDER BY o) AS k FROM a),
 c AS (SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY o) AS n FROM b WHERE k <= 6) SELECT doc_id, lang FROM c WHERE n <= 25""")
 relational("w12_largest_reference", "SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS k FROM documents) x WHERE k = 1")
-relational("w14_poll_order", "SELECT id, row_number() OVER (ORDER BY last_polled_at NULLS FIRST, id) AS place FROM feeds")
 
 # ------------------------------------------------------------------ queue, archive
 _CLAIMABLE = f"""enriched_at IS NULL AND title IS NOT NULL AND crawled_at <= {NOW} AND (enrich_claimed_at IS NULL OR enrich_claimed_at < {NOW - 150 * 60})
   AND (enrich_attempts < 3 OR (enrich_attempts < 10 AND enrich_claimed_at < {NOW - DAY}))"""
 relational("q1_claim_batch", f"SELECT id, {NOW} AS enrich_claimed_at, enrich_attempts + 1 AS enrich_attempts FROM articles WHERE {_CLAIMABLE} ORDER BY crawled_at, id LIMIT 50")
 relational("q2_release_claims", f"SELECT id, CASE WHEN enriched_at IS NULL AND enrich_claimed_at IS NOT NULL AND id % 2 = 0 THEN greatest(enrich_attempts - 1, 0) ELSE enrich_attempts END AS enrich_attempts FROM articles")
-relational("w8_prune_oldest", "SELECT id FROM (SELECT id, row_number() OVER (ORDER BY id DESC) AS k FROM articles) x WHERE k > 300 ORDER BY id LIMIT 200")
 relational("r8_cluster_keys_except", "SELECT DISTINCT source FROM documents WHERE n_chars > 3000 EXCEPT SELECT DISTINCT source FROM documents WHERE n_chars > 12000")
 relational("streak_breaker", """
 WITH e AS (SELECT user_id, event_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS bad, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS grp FROM events),

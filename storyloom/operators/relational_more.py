@@ -9,32 +9,12 @@ IST = 19_800
 
 # ------------------------------------------------------------------ scalar rules
 relational("x10_language_name", "SELECT id, left(lower(concat(language_code, '-latin-script')), 5) AS language FROM articles")
-relational("x36_usable_phash", "SELECT event_id, CASE WHEN user_id % 9 = 0 THEN NULL ELSE user_id - 1 END AS phash, lower(trim(event_type)) AS entity FROM events WHERE user_id - 1 NOT IN (0, -1)")
 relational("x38_article_time", f"SELECT id, CASE WHEN published_at IS NULL OR published_at > {NOW + 3600} THEN crawled_at ELSE published_at END AS t FROM articles")
 relational("x39_ist_views", f"SELECT id, CAST(floor((crawled_at + {IST}) / {DAY}) AS BIGINT) AS ist_day, CAST(floor((crawled_at + {IST}) % {DAY} / 3600) AS BIGINT) AS ist_hour FROM articles")
-relational("x40_catalogue_values", """
-SELECT user_id, event_id, lower(event_type) IN ('view', 'click', 'signup') AS flag, CASE WHEN event_type IN ('view', 'click') THEN event_type ELSE 'unknown' END AS cadence, nullif(trim(CASE WHEN event_id % 6 = 0 THEN '  ' ELSE event_type END), '') AS label FROM events""")
-relational("x29_pick_category", """
-WITH s AS (SELECT doc_id, (doc_id % 10) / 10.0 AS sports, (doc_id % 7) / 7.0 AS cricket, (n_chars % 10) / 10.0 AS politics FROM documents)
-SELECT doc_id, CASE WHEN greatest(sports, politics, cricket) < 0.30 THEN 'general' WHEN sports >= politics AND sports >= cricket THEN CASE WHEN cricket >= 0.5 THEN 'cricket' ELSE 'sports' END WHEN cricket > politics THEN 'cricket' ELSE 'politics' END AS category FROM s""")
-relational("x30_classify_tags", """
-WITH s AS (SELECT doc_id, 'a' AS tag, (doc_id % 10) / 10.0 AS s FROM documents UNION ALL SELECT doc_id, 'b', (n_chars % 10) / 10.0 FROM documents UNION ALL SELECT doc_id, 'c', ((doc_id + n_chars) % 10) / 10.0 FROM documents)
-SELECT doc_id, tag FROM (SELECT s.*, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, tag) AS k FROM s WHERE s >= 0.35) x WHERE k <= 5""")
-relational("x32_tag_head", """
-WITH s AS (SELECT vec_id, label AS tag, 1 / (1 + exp(-(vec_id % 13 - 6) / 2.0)) AS p FROM embeddings)
-SELECT vec_id, tag FROM s WHERE p >= CASE WHEN tag < 5 THEN 0.4 ELSE 0.6 END""")
 
 # ------------------------------------------------------------------ lateral lookups
 
 # ------------------------------------------------------------------ evaluation, sampling
-relational("w11_decile_pool", """
-WITH p AS (SELECT doc_id, n_chars, ntile(10) OVER (ORDER BY n_chars, doc_id) AS decile FROM documents), o AS (SELECT p.*, row_number() OVER (PARTITION BY decile ORDER BY md5(concat('pool', CAST(doc_id AS VARCHAR(20)))), doc_id) AS k FROM p)
-SELECT doc_id, CAST(decile AS BIGINT) AS decile FROM o WHERE k <= 8""")
-relational("w13_time_order", "SELECT id, CAST(row_number() OVER (ORDER BY coalesce(published_at, crawled_at), id) AS BIGINT) AS place FROM articles WHERE cluster_id IS NULL")
-relational("r9_top_entities", "SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS k FROM events WHERE event_type = 'view') x WHERE k <= 10")
-relational("r10_regions", "SELECT user_id, lower(event_type) AS region FROM (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY max(value) DESC, event_type) AS k FROM events GROUP BY user_id, event_type) x WHERE k <= 5")
-relational("f9_evidence", """
-SELECT user_id, k FROM (SELECT user_id, lower(event_type) AS k, row_number() OVER (PARTITION BY user_id ORDER BY max(value) DESC, lower(event_type)) AS r FROM events WHERE value >= 30 AND event_type NOT IN ('error') GROUP BY user_id, lower(event_type)) x WHERE r <= 15""")
 
 # ------------------------------------------------------------------ state, registry, archive
 relational("s5_since", f"SELECT id, coalesce(last_polled_at, {NOW - DAY}) - 10800 AS since FROM feeds")
