@@ -1,47 +1,5 @@
-"""Connected components of a distributed edge list."""
+"""Connected components of a distributed edge list, shared with the rest of the library."""
 
-from __future__ import annotations
+from storyloom.plans.graph import connected_components
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from .common import discard, materialize, skewed_join
-
-
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(u, v) bigint edges -> (node, component): the smallest node reachable.
-
-    Alternates large-star and small-star steps; the rounds grow with the logarithm of the longest path.
-    Self loops, repeated edges and nulls are allowed and ignored; no edges give no rows.
-    Each round is written to the shared folder, and no edge ever reaches the driver.
-    """
-    edges = edges.filter("u is not null and v is not null and u <> v")
-    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges = materialize(edges, "edges")
-    before = _state(edges)
-    for _ in range(max_rounds):
-        if not before[0]:
-            break
-        # large star: every larger neighbour of a node is linked with the smallest of its neighbourhood
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n")), "low")
-        large = skewed_join(both, low, "u", "n").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        # small star: a node's smaller neighbours, and itself, are linked with the smallest of them
-        large = large.distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least.hint("merge"), "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        done, edges = edges, materialize(small.filter("u <> v").distinct(), "edges")
-        discard(done, low)
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    stars = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
-    return stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+__all__ = ["connected_components"]

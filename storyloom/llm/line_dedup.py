@@ -3,11 +3,13 @@
 A run holds (key, docs, last) sorted by key: a line hash, the documents it was found in, the largest doc_id.
 Batches come in descending order of doc_id.  Each batch merge-anti-joins the runs: keys that no run has are new
 and enter with their keeper (no later batch can hold a larger doc_id); known keys only add to their counts.  Every
-FANOUT runs of one level are compacted into one run of the next level.
+FANOUT runs of one level are compacted into one run of the next level.  Runs are tables bucketed and sorted by key, so
+a batch is shuffled once and meets every run where it lies.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions, small_batches, text_bytes
+from .common import discard, materialize, partitions, shared_dir, skewed_join, small_batches, text_bytes
 
 BATCHES = 4
 FANOUT = 3
@@ -35,7 +37,7 @@ class LineRuns:
     """The levels of sorted runs; all data stay in files of the shared folder."""
 
     def __init__(self, fanout: int = FANOUT):
-        self.fanout, self.levels = fanout, []
+        self.fanout, self.levels, self.buckets = fanout, [], None
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
@@ -44,34 +46,53 @@ class LineRuns:
         """batch: (doc_id, key), each key once for a document; doc_ids below those of earlier batches."""
         own = batch.groupBy("key").agg(F.count("*").alias("docs"), F.max("doc_id").alias("last"))
         if runs := self.runs():
-            known = _union(runs).select("key").distinct().withColumn("known", F.lit(True))
-            own = own.join(known, "key", "left").select("key", "docs", F.when(F.col("known").isNull(), F.col("last")).alias("last"))
+            own = own.repartition(self.buckets, "key")
+            for run in runs:
+                known = run.select("key", F.lit(True).alias("known")).hint("merge")
+                own = own.join(known, "key", "left").select("key", "docs", F.when(F.col("known").isNull(), F.col("last")).alias("last"))
         self._put(own, 0)
 
     def _put(self, run: DataFrame, level: int) -> None:
-        n = partitions(run.sparkSession)
-        run = materialize(run.repartition(n, "key").sortWithinPartitions("key"), f"run{level}")
+        self.buckets = self.buckets or partitions(run.sparkSession)
+        run = _bucketed(run, self.buckets)
         if len(self.levels) == level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             merged, self.levels[level] = self.levels[level], []
             self._put(_merged(merged), level + 1)
+            _drop(merged)
 
     def frequent(self, min_docs: int) -> DataFrame:
-        """(key, last) of the keys found in at least min_docs documents."""
-        return _merged(self.runs()).filter(F.col("docs") >= min_docs).select("key", "last")
+        """(key, docs, last) of the keys found in at least min_docs documents."""
+        return _merged(self.runs()).filter(F.col("docs") >= min_docs)
 
+    def close(self) -> None:
+        _drop(self.runs())
+        self.levels = []
 
-def _union(runs: list[DataFrame]) -> DataFrame:
-    out = runs[0]
-    for run in runs[1:]:
-        out = out.unionByName(run)
+
+def _bucketed(run: DataFrame, buckets: int) -> DataFrame:
+    """run as a table in one sorted file for each bucket of its key."""
+    spark, name = run.sparkSession, f"line_run_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    run.repartition(buckets, "key").write.bucketBy(buckets, "key").sortBy("key").option("path", path).format("parquet").saveAsTable(name)
+    out = spark.table(name)
+    out.scratch, out.table_name = path, name
     return out
 
 
+def _drop(runs: list[DataFrame]) -> None:
+    for run in runs:
+        run.sparkSession.sql(f"DROP TABLE IF EXISTS {run.table_name}")
+        discard(run)
+
+
 def _merged(runs: list[DataFrame]) -> DataFrame:
-    return _union(runs).groupBy("key").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
+    out = runs[0]
+    for run in runs[1:]:
+        out = out.unionByName(run)
+    return out.groupBy("key").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
 
 
 def document_lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -96,10 +117,13 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches:
 
     A line whose key (stripped, A-Z lowered) has min_chars code points or more and is found in min_docs documents
     or more stays only in the largest doc_id that holds it, there with all its repeats.  Null texts count as one
-    empty line and come back empty.  Each row is a document; rows that tie on the largest doc_id all keep the line.
+    empty line and come back empty.  Rows of one doc_id are one document, each with its own text; rows that tie on the
+    largest doc_id all keep the line.
     A null doc_id ranks below all others.  Other columns are ignored; no rows give no rows.
     """
     lines = materialize(document_lines(docs, min_chars), "lines")
+    if not docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        lines = materialize(lines.distinct(), "lines")
     cuts = lines.select(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000)).first()[0] or []
     runs, upper = LineRuns(), None
     for low in [*sorted(set(cuts), reverse=True), None]:
@@ -110,7 +134,9 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches:
             part = part.filter(F.col("doc_id") <= upper)
         runs.add(part)
         upper = low
-    drops = lines.join(runs.frequent(min_docs), "key").filter(F.col("doc_id") < F.col("last"))
+    frequent = materialize(runs.frequent(min_docs), "frequent")
+    runs.close()
+    drops = skewed_join(lines, frequent, "key", "docs").filter(F.col("doc_id") < F.col("last"))
     drops = drops.groupBy("doc_id").agg(F.collect_set("key").alias("drops"))
     whole = text_bytes(docs, *carry).withColumn("at", F.coalesce("doc_id", F.lit(_NO_ID)))
     rows = whole.join(drops.withColumnRenamed("doc_id", "at"), "at", "left").select("doc_id", "text", "drops", *carry)

@@ -57,7 +57,7 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     out = cells.withColumn("weight", F.col("tokens").cast("double"))
     for dim, target in targets.items():
-        out = out.join(F.broadcast(target.withColumnRenamed("target", f"{dim}_target")), dim, "left")
+        out = out.join(target.withColumnRenamed("target", f"{dim}_target"), dim, "left")
     for _ in range(rounds):
         for dim in targets:
             held = F.sum("weight").over(W.partitionBy(dim))
@@ -70,7 +70,7 @@ def targeted(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """cells with a column <dim>_target for each dimension, 0.0 where a value has none."""
     out = cells
     for dim, target in targets.items():
-        out = out.join(F.broadcast(target.withColumnRenamed("target", f"{dim}_target")), dim, "left")
+        out = out.join(target.withColumnRenamed("target", f"{dim}_target"), dim, "left")
     return out.fillna(0.0, [f"{dim}_target" for dim in targets])
 
 

@@ -19,58 +19,71 @@ GOOD, BAD, ABSTAIN = 1, -1, 0
 
 
 def rules() -> dict[str, Column]:
-    """name -> vote, over the columns of text_counts."""
+    """name -> vote, over the columns of text_counts; each rule looks at facts of its own.
+
+    Only running prose is praised, and it is judged only where words are words: among symbols the rule abstains.
+    Where a pass is no merit (no symbols, no repeats) a rule abstains.
+    """
     per = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
-    vote = lambda bad, good=F.lit(False): F.when(bad, BAD).when(good, GOOD).otherwise(ABSTAIN)
-    symbols, marks, short, stops = per("n_symbols", "n_words"), per("n_symbols", "word_chars"), per("n_short", "n_words"), per("n_stops", "n_words")
-    many = F.col("n_words") >= 30
+    blame = lambda bad: F.when(bad, BAD).otherwise(ABSTAIN)
+    short, stops = per("n_short", "n_words"), per("n_stops", "n_words")
+    some, words = F.col("n_words") >= 10, per("n_symbols", "n_words") <= 0.1
     return {
-        "symbols": vote(symbols > 0.1, symbols < 0.01),
-        "symbol_share": vote(marks > 0.02, marks < 0.002),
-        "short_words": vote(many & (short < 0.1), (short > 0.2) & (short < 0.6)),
-        "sentences": vote(many & (stops < 0.005), (stops > 0.02) & (stops < 0.4)),
-        # freedom from repeats is no merit: these abstain instead of praising
-        "repeats": vote(per("n_repeat_words", "n_words") > 0.2),
-        "dup_lines": vote(per("n_dup_lines", "n_lines") > 0.3),
+        "prose": F.when(some & words & ((short < 0.1) | (stops < 0.005)), BAD).when(some & words & (short > 0.12) & (short < 0.7) & (stops > 0.008) & (stops < 0.5), GOOD).otherwise(ABSTAIN),
+        "symbols": blame(per("n_symbols", "n_words") > 0.1),
+        "word_length": blame((per("word_chars", "n_words") > 11) | (some & (per("word_chars", "n_words") < 2.5))),
+        "repeats": blame(per("n_repeat_words", "n_words") > 0.2),
+        "dup_lines": blame(per("n_dup_lines", "n_lines") > 0.3),
+        "variety": blame(some & (per("n_distinct", "n_words") < 0.25)),
     }
 
 
+VOTES = (BAD, ABSTAIN, GOOD)
+#: Least share of a rule's good votes on good documents, and of its bad votes on bad ones.
+TRUST = 0.5
+Shares = list[dict[int, float]]
+
+
+def posterior(pattern: tuple[int, ...], prior: float, good: Shares, bad: Shares) -> float:
+    """Probability of good quality, given how often each rule votes so on good and on bad documents."""
+    log = math.log(prior / (1 - prior)) + sum(math.log(g[v] / b[v]) for v, g, b in zip(pattern, good, bad, strict=True))
+    return 1 / (1 + math.exp(-max(-500.0, min(500.0, log))))
+
+
+def shares(patterns: list[tuple[tuple[int, ...], int]], post: dict[tuple[int, ...], float], rule: int) -> tuple[dict[int, float], dict[int, float]]:
+    """How a rule's outcomes, abstentions included, are shared out over good and over bad documents; half a pseudo-count each."""
+    good, bad = ({v: 0.5 for v in VOTES} for _ in range(2))
+    for p, n in patterns:
+        good[p[rule]] += post[p] * n
+        bad[p[rule]] += (1 - post[p]) * n
+    for vote, right, wrong in ((GOOD, good, bad), (BAD, bad, good)):
+        whole = right[vote] + wrong[vote]
+        right[vote] = max(right[vote], TRUST * whole)
+        wrong[vote] = whole - right[vote]
+    return tuple({v: m / sum(side.values()) for v, m in side.items()} for side in (good, bad))
+
+
 def fit(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, rounds: int = 100) -> dict[tuple[int, ...], float]:
     """Vote patterns with their counts -> posterior probability of good quality for every possible pattern.
 
-    Dawid-Skene for two classes; an abstention says nothing.  The first posterior is the share of good votes, and
-    pseudo-counts hold each rule to be right rather than wrong, so the classes cannot trade places.
+    Dawid-Skene for two classes and three outcomes: for each class a rule has its own shares of bad votes, abstentions
+    and good votes, all estimated.  The first posterior leans by the balance of votes.  What weak supervision takes for
+    granted is that a vote is right at least TRUST of the time: where an estimate falls below, it is held there, so the
+    classes cannot trade places or follow something else than quality.
     """
-    start = lambda p: (1 + p.count(GOOD)) / (2 + p.count(GOOD) + p.count(BAD))
-    post = {p: start(p) for p, _ in patterns}
-    prior, right = 0.5, [(0.8, 0.8)] * n_rules
-
-    def posterior(p: tuple[int, ...]) -> float:
-        log = math.log(prior / (1 - prior))
-        for v, (good, bad) in zip(p, right, strict=True):
-            if v == GOOD:
-                log += math.log(good / (1 - bad))
-            elif v == BAD:
-                log += math.log((1 - good) / bad)
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, log))))
-
+    post = {p: 1 / (1 + 4.0 ** -sum(p)) if any(p) else 0.5 for p, _ in patterns}
     total = sum(n for _, n in patterns)
+    prior, good, bad = 0.5, [dict.fromkeys(VOTES, 1 / 3)] * n_rules, [dict.fromkeys(VOTES, 1 / 3)] * n_rules
     for _ in range(rounds):
-        mass = sum(post[p] * n for p, n in patterns)
-        prior = min(0.99, max(0.01, (mass + 1) / (total + 2)))
-        right = []
-        for k in range(n_rules):
-            voted = [(p, n) for p, n in patterns if p[k] != ABSTAIN]
-            good, bad = sum(post[p] * n for p, n in voted), sum((1 - post[p]) * n for p, n in voted)
-            hit, miss = sum(post[p] * n for p, n in voted if p[k] == GOOD), sum((1 - post[p]) * n for p, n in voted if p[k] == BAD)
-            # at least even odds: a rule may become useless, never an enemy
-            right.append((min(0.999, max(0.5, (hit + 8) / (good + 10))), min(0.999, max(0.5, (miss + 8) / (bad + 10)))))
-        after = {p: posterior(p) for p, _ in patterns}
+        prior = min(0.99, max(0.01, (sum(post[p] * n for p, n in patterns) + 1) / (total + 2)))
+        fitted = [shares(patterns, post, k) for k in range(n_rules)]
+        good, bad = [g for g, _ in fitted], [b for _, b in fitted]
+        after = {p: posterior(p, prior, good, bad) for p, _ in patterns}
         moved = max((abs(after[p] - post[p]) for p in post), default=0)
         post = after
         if moved < 1e-9:
             break
-    return {p: posterior(p) for p in itertools.product((BAD, ABSTAIN, GOOD), repeat=n_rules)}
+    return {p: posterior(p, prior, good, bad) for p in itertools.product(VOTES, repeat=n_rules)}
 
 
 def judged(docs: DataFrame, least: float = 0.5) -> DataFrame:

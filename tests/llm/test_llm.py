@@ -90,7 +90,7 @@ def test_near_duplicates_brute_force(docs, odd, width):
                 assert (r.component_id, r.kept) == (want[r.doc_id], want[r.doc_id] == r.doc_id) and r.n_shingles in sizes[r.doc_id]
 
 
-@pytest.mark.parametrize("limits", [{}, {"BLOCK": 16}, {"BLOCK": 16, "SHORT": 8}, {"BLOCK": 40, "SHORT": 8, "WIDE": 30, "HOT": 10**6}, {"BLOCK": 16, "WIDE": 20, "HOT": 500}])
+@pytest.mark.parametrize("limits", [{}, {"BLOCK": 16, "SHORT": 8}, {"BLOCK": 40, "SHORT": 8, "WIDE": 30, "HOT": 10**6}, {"BLOCK": 16, "WIDE": 20, "HOT": 500}])
 def test_near_duplicates_dense_group(spark, monkeypatch, limits):
     """A large group of near copies around one text, many just below the threshold; long lists and blocks are used."""
     for name, value in limits.items():
@@ -158,11 +158,10 @@ def test_fingerprints_odd(odd):
 # ---------------------------------------------------------------- sharding
 
 
-@pytest.mark.parametrize("per_bucket", [20_000, 20])
-def test_shards(docs, odd, none, per_bucket, monkeypatch):
-    monkeypatch.setattr(sharding, "GROUPS_PER_BUCKET", per_bucket)
+@pytest.mark.parametrize("buckets, bins", [(sharding.BUCKETS, sharding.BINS), (1, 16), (4, 256)])
+def test_shards(docs, odd, none, buckets, bins):
     for df, n in ((docs, 16), (odd, 3)):
-        got = sharding.shards(df, n).collect()
+        got = sharding.shards(df, n, buckets, max(bins, n)).collect()
         texts = df.collect()
         assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in texts)
         slots, loads, homes = defaultdict(list), Counter(), defaultdict(set)
@@ -177,9 +176,8 @@ def test_shards(docs, odd, none, per_bucket, monkeypatch):
 
 
 @pytest.mark.parametrize("share", [0.1, 0.33])
-def test_shards_hot_group(spark, monkeypatch, share):
-    """Two buckets and a hot group of equal texts: all other shards are as near equal as with one bucket."""
-    monkeypatch.setattr(sharding, "GROUPS_PER_BUCKET", 1000)
+def test_shards_hot_group(spark, share):
+    """A hot group of equal texts: all other shards are as near equal as plain scheduling makes them."""
     rng = np.random.default_rng(7)
     sizes = np.clip(rng.lognormal(5, 0.8, 2250), 10, 3000).astype(int)
     texts = [f"{k} ".ljust(n, "x") for k, n in enumerate(sizes)]
@@ -193,6 +191,21 @@ def test_shards_hot_group(spark, monkeypatch, share):
     assert len(got) == len(texts) and len(own) == 1 and len(cold) == 15 and max(cold) <= 1.01 * min(cold)
 
 
+def test_shards_are_plain_scheduling(docs):
+    """Where every group has a bin of its own the shards are those of plain LPT over the groups, up to ties of size."""
+    loads = Counter()
+    for r in docs.collect():
+        loads[(r.text or "").encode()] += len((r.text or "").encode()) + 1
+    want = Counter()
+    sizes = sorted(loads.values(), reverse=True)
+    for size, shard in zip(sizes, sharding.lpt(sizes, 16), strict=True):
+        want[shard] += size
+    got = Counter()
+    for r in sharding.shards(docs, 16, 1, 4096).collect():
+        got[r.shard] += r.size
+    assert sorted(got.values()) == sorted(want.values())
+
+
 def test_lpt():
     assert sharding.lpt([7, 5, 4, 3, 1], 2) == [0, 1, 1, 0, 1]
 
@@ -340,6 +353,42 @@ def test_counts_and_supervision(docs, odd, none):
     assert weak_supervision.judged(none).collect() == []
 
 
+def test_supervision_brute_force(docs):
+    """The posterior of every document by an EM written out over documents instead of patterns."""
+    votes = weak_supervision.rules()
+    rows = textstats.text_counts(docs).select("doc_id", *[v.alias(k) for k, v in votes.items()]).collect()
+    x = np.array([[r[k] for k in votes] for r in rows])
+    q = np.where((x != 0).any(axis=1), 1 / (1 + 4.0 ** -x.sum(axis=1)), 0.5)
+    for _ in range(100):
+        prior = np.clip((q.sum() + 1) / (len(q) + 2), 0.01, 0.99)
+        log = np.full(len(q), np.log(prior / (1 - prior)))
+        for k in range(x.shape[1]):
+            good = {v: 0.5 + q[x[:, k] == v].sum() for v in (-1, 0, 1)}
+            bad = {v: 0.5 + (1 - q[x[:, k] == v]).sum() for v in (-1, 0, 1)}
+            for v, right, wrong in ((1, good, bad), (-1, bad, good)):
+                whole = right[v] + wrong[v]
+                right[v] = max(right[v], 0.5 * whole)
+                wrong[v] = whole - right[v]
+            for v in (-1, 0, 1):
+                log[x[:, k] == v] += np.log(good[v] / sum(good.values())) - np.log(bad[v] / sum(bad.values()))
+        new = 1 / (1 + np.exp(-log))
+        done, q = np.abs(new - q).max() < 1e-9, new
+        if done:
+            break
+    want = {r.doc_id: p for r, p in zip(rows, q, strict=True)}
+    for r in weak_supervision.judged(docs).collect():
+        assert abs(r.quality - want[r.doc_id]) < 1e-6 and r.kept == (not r.base_failed and r.quality >= 0.5)
+
+
+def test_supervision_labels(spark):
+    """Against the labels of the test data: no bad document is kept, few good ones go."""
+    sf = "/root/testdata/sf0.01"
+    got = weak_supervision.judged(spark.read.parquet(f"{sf}/documents.parquet")).select("doc_id", "kept")
+    both = got.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    good, bad = [r.kept for r in both if r["quality"] == 1], [r.kept for r in both if r["quality"] == 0]
+    assert sum(good) >= 0.93 * len(good) and sum(bad) <= 0.1 * len(bad)
+
+
 def test_supervision_em():
     """Votes drawn from known accuracies: EM finds the classes better than the best rule alone."""
     rng = np.random.default_rng(1)
