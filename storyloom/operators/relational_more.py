@@ -21,6 +21,3 @@ relational("s5_since", f"SELECT id, coalesce(last_polled_at, {NOW - DAY}) - 1080
 relational("v4_archive_days", f"""
 WITH days AS (SELECT DISTINCT CAST(floor(crawled_at / {DAY}) AS BIGINT) AS day FROM articles WHERE crawled_at < {NOW - 2 * DAY}), log AS (SELECT DISTINCT CAST(floor(crawled_at / {DAY}) AS BIGINT) AS day FROM articles WHERE id % 997 = 3)
 SELECT d.day FROM days d LEFT JOIN log l ON l.day = d.day WHERE l.day IS NULL""")
-relational("streaming_late_rows", """
-WITH e AS (SELECT event_id, ts, max(ts) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mark FROM events)
-SELECT CAST(count(*) FILTER (WHERE ts < mark - INTERVAL 30 HOUR) AS BIGINT) AS late, CAST(count(*) AS BIGINT) AS n FROM e""")

@@ -178,9 +178,9 @@ def c1_assign_clusters(spark, sf_dir):
 
 @query("c2_separate_models", """SELECT vec_id AS article_id, vec_id AS cluster_id, 'seed' AS action, CAST(1 AS BIGINT) AS article_count FROM embeddings""")
 def c2_separate_models(spark, sf_dir):
-    """Stories of one model never take articles of another: with a model for each article all of them seed."""
-    rows = members(spark, sf_dir).withColumn("model", F.col("article_id").cast("string"))
-    return C.assign(rows, C.Rules(size=64))[0].select("article_id", "cluster_id", "action", "article_count")
+    """Ten models of their own; at the shipped thresholds none of the test vectors is near another, so all of them seed."""
+    rows = members(spark, sf_dir).withColumn("model", (F.col("article_id") % 10).cast("string"))
+    return C.assign(rows, C.Rules(size=64), parallel=False)[0].select("article_id", "cluster_id", "action", "article_count")
 
 
 # ------------------------------------------------------------------ hand-made streams

@@ -1,4 +1,4 @@
-"""Hand-made fixtures for sources, sinks, streaming, text rules, entities and the clustering fold."""
+"""Hand-made fixtures and plain-Python twins for rules, clustering, heads, sinks and streaming."""
 
 from __future__ import annotations
 
@@ -7,14 +7,18 @@ import json
 import re
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from storyloom.functions import enrich as E
+from storyloom.functions import hashes as H
 from storyloom.functions import text as T
 from storyloom.functions import urls as U
-from storyloom.operators import clustering, entities, native
-from storyloom.operators.native import simhash_pairs
+from storyloom.operators import clustering as C
+from storyloom.operators import entities, heads, native
+from storyloom.operators.addresses import simhash_pairs
+from storyloom.operators.stories import TWINS, twins
+from storyloom.plans.ranks import numbered, tile
 from storyloom.sources import archive, feeds
 from storyloom.streaming import ingest
 
@@ -44,9 +48,43 @@ def test_url_parts(spark):
     assert one(spark, "http://www.m.amp.a.in:8080/x", U.host_key) == "a.in"
     assert one(spark, "https://a.in/s?sid=1&source=x", lambda x: U.normalise_url(x, legacy=True)) == "https://a.in/s"
     assert one(spark, "b=2&a=%20x&utm_id=1&c=", U.normalise_query) == "a=+x&b=2"
-    cases = [(0, 0, 0), (0, 1, 1), (-1, 0, 64), (-(2**63), 0, 1), (-(2**63), 1, 2), (5, 6, 2)]
-    got = spark.createDataFrame(cases, "a bigint, b bigint, want int").select("want", U.hamming(F.col("a"), F.col("b")).alias("d"))
-    assert all(r.want == r.d for r in got.collect())
+    rng = np.random.default_rng(4)
+    pairs = [tuple(int(x) for x in rng.integers(-(2**63), 2**63 - 1, 2)) for _ in range(50)]
+    got = spark.createDataFrame(pairs, "a bigint, b bigint").select("a", "b", U.hamming(F.col("a"), F.col("b")).alias("d"))
+    assert all(r.d == ((r.a ^ r.b) & (2**64 - 1)).bit_count() for r in got.collect())
+
+
+def plain_murmur(data: bytes, seed: int) -> int:
+    """The public algorithm in plain integers."""
+    m, c1, c2 = 2**64 - 1, 0x87C37B91114253D5, 0x4CF5AD432745937F
+    turn = lambda x, n: ((x << n) | (x >> (64 - n))) & m
+    h1 = h2 = seed
+    tail = data[len(data) // 16 * 16 :]
+    for at in range(0, len(data) // 16 * 16, 16):
+        k1, k2 = int.from_bytes(data[at : at + 8], "little"), int.from_bytes(data[at + 8 : at + 16], "little")
+        h1 = ((turn(h1 ^ (turn(k1 * c1 & m, 31) * c2 & m), 27) + h2) * 5 + 0x52DCE729) & m
+        h2 = ((turn(h2 ^ (turn(k2 * c2 & m, 33) * c1 & m), 31) + h1) * 5 + 0x38495AB5) & m
+    k1, k2 = int.from_bytes(tail[:8], "little"), int.from_bytes(tail[8:], "little")
+    h1 ^= turn(k1 * c1 & m, 31) * c2 & m
+    h2 ^= turn(k2 * c2 & m, 33) * c1 & m
+    h1, h2 = h1 ^ len(data), h2 ^ len(data)
+    h1 = (h1 + h2) & m
+    h2 = (h2 + h1) & m
+
+    def settle(x):
+        x = (x ^ x >> 33) * 0xFF51AFD7ED558CCD & m
+        x = (x ^ x >> 33) * 0xC4CEB9FE1A85EC53 & m
+        return x ^ x >> 33
+
+    out = (settle(h1) + settle(h2)) & m
+    return out - 2**64 if out >= 2**63 else out
+
+
+def test_murmur():
+    rng = np.random.default_rng(3)
+    data = [rng.bytes(n) for n in range(70)] + ["कखग".encode(), b"foo"]
+    assert H.murmur3_low(data).tolist() == [plain_murmur(d, 42) for d in data]
+    assert H.murmur3_low([b"foo"], 0).tolist() == [-2129773440516405919] and H.murmur3_low([]).tolist() == []
 
 
 def test_simhash_pairs_exact(spark):
@@ -58,46 +96,134 @@ def test_simhash_pairs_exact(spark):
     assert got == want
 
 
-def test_text_rules(spark):
-    assert one(spark, " a b c ", T.word_count) == 3 and one(spark, None, T.word_count) == 0
-    lang = lambda t, d: spark.createDataFrame([(t, d)], "t string, d string").select(T.article_language(F.col("t"), F.lit(""), F.col("d")).alias("y")).first().y
-    assert (lang("தமிழ் செய்தி வணக்கம்", "en"), lang("plain words", "FR"), lang("plain", None)) == ("ta", "fr", "en")
-
-
-def test_sitemaps(spark):
-    xml = """<urlset><url><loc>https://a.in/1?x=1&amp;y=2</loc><image:image><image:loc>https://a.in/p.jpg</image:loc></image:image><news:news><news:language>HI</news:language>
-    <news:publication_date>2026-01-02T10:00:00+05:30</news:publication_date><news:title><![CDATA[A &amp;amp; B]]></news:title></news:news></url><url><loc>https://a.in/2</loc><lastmod>2026-01-02</lastmod></url><url></url></urlset>"""
-    rows = {r["loc"]: r for r in feeds.sitemap_entries(spark.createDataFrame([(xml,)], "value string")).collect()}
-    first = rows["https://a.in/1?x=1&y=2"]
-    assert (first.title, first.language, first.image, first.news) == ("A & B", "hi", "https://a.in/p.jpg", True)
-    assert str(first.published) == "2026-01-02 04:30:00" and str(rows["https://a.in/2"].published) == "2026-01-01 18:30:00"
-    index = "<sitemapindex><sitemap><loc>a</loc></sitemap><sitemap><loc>b</loc><lastmod>2026-01-02</lastmod></sitemap></sitemapindex>"
-    assert [r["loc"] for r in feeds.sitemap_index(spark.createDataFrame([(index,)], "value string")).collect()] == ["b", "a"]
-    entries = feeds.sitemap_entries(spark.createDataFrame([(xml,)], "value string"))
-    assert feeds.fresh_entries(entries, F.lit("2026-01-02 00:00:00").cast("timestamp"), F.lit("2026-01-02 05:00:00").cast("timestamp")).count() == 1
-
-
-def test_listings(spark):
-    rss = "<rss><item><link>http://x/ABC_1.xml</link><title>Firm</title><description>Note|SUBJECT: Results</description><pubDate>06-Oct-2026 12:39:10</pubDate></item><item><link></link></item><item><link>http://x/n</link><description>Net Asset Value</description></item></rss>"
-    df = spark.createDataFrame([(rss,)], "value string")
-    (got,) = feeds.exchange_announcements(df).collect()
-    assert (got.title, got.tags, str(got.published)) == ("Firm: Results", ["filing", "ABC"], "2026-10-06 07:09:10")
-    assert feeds.rss_entries(df).count() == 2
-    lines = spark.createDataFrame([("a\tb\tc\td\thttp://www.k.com/1",), ("a\tb\tc\td\thttp://z.in/2",), ("a\tb\tc\td\thttp://q.com/3",), ("short",)], "value string")
-    assert {r.host for r in feeds.known_hosts(lines, spark.createDataFrame([("k.com",)], "host string")).collect()} == {"k.com", "z.in"}
+def test_places(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(v), i) for i, v in enumerate(rng.integers(0, 50, 400))]
+    df = spark.createDataFrame(rows, "v bigint, i bigint").repartition(5)
+    got = numbered(df, F.col("v"), F.col("i")).withColumn("t", tile(F.col("place"), 400, 7)).orderBy("place").collect()
+    assert [(r.v, r.i) for r in got] == sorted(rows) and [r.place for r in got] == list(range(1, 401))
+    sizes = [sum(r.t == k for r in got) for k in range(1, 8)]
+    assert sizes == [58] + [57] * 6
+    assert numbered(df.limit(0), F.col("v")).count() == 0
+
+
+# ---------------------------------------------------------------- clustering
+
+
+def stream(seed: int, n: int = 120, size: int = 24):
+    """Articles around a few directions, a part of them late, with noise; model is the seed."""
+    rng = np.random.default_rng(seed)
+    bases = [b / np.linalg.norm(b) for b in rng.normal(size=(8, size))]
+    rows = []
+    for i in range(n):
+        v = rng.normal(size=size)
+        if rng.random() < 0.8:
+            v = 6 * bases[rng.integers(8)] + 0.9 * v * rng.random()
+        t = int(rng.integers(0, 200_000)) - (8000 if rng.random() < 0.1 else 0)
+        rows.append((f"s{seed}", seed * 1000 + i, t, [float(x) for x in v], f"site{rng.integers(6)}.example", f"title {i}"))
+    return rows
+
+
+def test_parts_equal_one_serial_fold(spark):
+    """Twenty streams, a model each: folding the parts of the anchor graph gives what one fold over all gives."""
+    rules = C.Rules(size=24)
+    assert rules.separable() and not C.Rules(join=0.5, gray=0.5, anchor=0.45).separable()
+    rows = [r for seed in range(20) for r in stream(seed)]
+    df = spark.createDataFrame(rows, "model string, article_id bigint, t bigint, vector array<double>, domain string, title string")
+    key = lambda out: sorted((r.article_id, r.cluster_id, r.action, round(r.similarity, 6), r.article_count, r.outlet_count) for r in out.collect())
+    fast, stories = C.assign(df, rules)
+    slow, same = C.assign(df, rules, parallel=False)
+    assert key(fast) == key(slow) and {r[2] for r in key(fast)} == {"seed", "join"}
+    tell = lambda s: sorted((r.cluster_id, r.n, r.rep_id, r["first"], r["last"], tuple(r.outlets)) for r in s.collect())
+    assert tell(stories) == tell(same)
+
+
+def test_assignment_goes_on_from_state(spark):
+    """Two halves of a stream, the second on the stories of the first, are the whole stream."""
+    rules, rows = C.Rules(size=24), sorted(stream(7), key=lambda r: (r[2], r[1]))
+    make = lambda part: spark.createDataFrame(part, "model string, article_id bigint, t bigint, vector array<double>, domain string, title string")
+    whole = {r.article_id: r.cluster_id for r in C.assign(make(rows), rules, parallel=False)[0].collect()}
+    one_half, stories = C.assign(make(rows[:60]), rules, parallel=False)
+    other, _ = C.assign(make(rows[60:]), rules, stories=stories)
+    assert {r.article_id: r.cluster_id for r in one_half.unionByName(other).collect()} == whole
+    assert C.assign(make(rows[:1]).limit(0), rules)[0].count() == 0
+
+
+def test_merge_plan_is_greedy(spark):
+    rng = np.random.default_rng(8)
+    size = {i: int(rng.integers(1, 5)) for i in range(60)}
+    rows = []
+    for probe in range(60):
+        other = int(rng.integers(0, 60))
+        rows.append(("m", probe, size[probe], None if other == probe else other, None if other == probe else size[other], None if other == probe else float(rng.choice([0.5, 0.7, 0.8, 0.9]))))
+    pairs = {}
+    for _, p, _, o, _, s in rows:
+        if o is not None and s >= 0.6:
+            k = (min(p, o), max(p, o))
+            pairs[k] = max(s, pairs.get(k, 0))
+    used, want = set(), set()
+    for (a, b), s in sorted(pairs.items(), key=lambda x: (-x[1], x[0])):
+        if not used & {a, b}:
+            used |= {a, b}
+            want.add((a, b, s) if size[a] >= size[b] else (b, a, s))
+    df = spark.createDataFrame(rows, "model string, probe bigint, probe_n bigint, other bigint, other_n bigint, similarity double")
+    assert {(r.winner, r.loser, r.similarity) for r in C.plan_merges(df, 0.6).collect()} == want and len(want) > 5
+    assert C.plan_merges(df.limit(0), 0.6).collect() == []
+
+
+def test_state_is_of_one_model(spark, tmp_path):
+    state = twins(spark)
+    with pytest.raises(ValueError):
+        C.save_state(state.unionByName(state.withColumn("model", F.lit("other"))), str(tmp_path), "m")
+    C.save_state(state, str(tmp_path), "m")
+    C.save_state(state.withColumn("last", F.col("last") + 1).withColumn("n", F.lit(9).cast("bigint")), str(tmp_path), "m")
+    assert {r.n for r in C.load_state(spark, str(tmp_path), "m").collect()} == {9} and C.load_state(spark, str(tmp_path), "x") is None
+    assert state.count() == len(TWINS)
+
+
+# ---------------------------------------------------------------- heads
+
+
+def test_heads(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(400):
+        label = i % 4
+        v = rng.normal(size=6) * 0.4
+        v[label] += 2
+        rows.append((i, f"p{i % 23}", [float(x) for x in v], [f"t{label}"] + (["even"] if label % 2 == 0 else []), f"t{label}"))
+    df = spark.createDataFrame(rows, "id bigint, group string, vector array<double>, tags array<string>, label string")
+    head, found = heads.train_tags(df, ["t0", "even", "never"], "enc")
+    assert set(found) == {"t0", "even"} and all(f1 > 0.9 for _, f1 in found.values())
+    said = {}
+    for r in head.tags(df, "id", "vector", "enc").collect():
+        said.setdefault(r.id, set()).add(r.tag)
+    right = sum(said.get(i, set()) == set(tags) & {"t0", "even"} for i, _, _, tags, _ in rows)
+    assert right > 360
+    cat, accuracy = heads.train_category(df, ["t0", "t1", "t2", "t3"], "enc")
+    assert accuracy > 0.9 and df.join(cat.category(df, "id", "vector", "enc"), "id").filter("category = label").count() > 370
+    with pytest.raises(ValueError):
+        cat.category(df, "id", "vector", "another encoder")
+    big = E.Head(["a", "b"], np.eye(2) * 1e6, [0, 0], "enc")
+    got = big.category(spark.createDataFrame([(1, [5.0, 1.0])], "id bigint, vector array<double>"), "id", "vector", "enc").first()
+    assert (got.category, got.confidence) == ("a", 1.0)
+
+
+# ---------------------------------------------------------------- sinks and streaming
 
 
 def test_archive(spark, tmp_path):
-    rows = spark.range(100).select("id", F.expr("timestamp'2026-01-01 00:00:00' + make_interval(0,0,0,id % 4)").alias("at"), F.lit("x").alias("body"))
+    rows = spark.range(100).select("id", F.expr("timestamp'2026-01-01 00:00:00' + make_interval(0,0,0,cast(id % 4 as int))").alias("at"), F.lit("x").alias("body"))
     root = str(tmp_path / "archive")
-    log = archive.export_days(rows, root, "at")
-    checked = archive.verify_days(spark, root, log)
-    assert {r.status for r in checked.collect()} == {"verified"} and checked.count() == 4
-    assert archive.checksums(spark, root).count() >= 4
-    assert archive.prune_days(rows, checked, "at", "2026-01-03").count() == 50
+    log = spark.createDataFrame(archive.export_days(rows, root, "at").collect(), archive.LOG)
+    good = archive.verify_days(log, root, rows, "at").collect()
+    assert {r.status for r in good} == {"verified"} and len(good) == 4
+    again = spark.createDataFrame(archive.export_days(rows.filter("id % 4 = 1"), root, "at").collect(), archive.LOG)
+    assert archive.parts(spark, root).filter("day = '2026-01-02'").agg(F.sum("rows")).first()[0] == 25 == again.first()["rows"]
     assert archive.read_days(spark, root, "2026-01-02", "2026-01-02").count() == 25
-    broken = archive.verify_days(spark, root, log.withColumn("rows", F.col("rows") + 1))
-    assert archive.prune_days(rows, broken, "at", "2026-01-03").count() == 100
+    left, after, report = archive.run_archive(rows, spark.createDataFrame([], archive.LOG), str(tmp_path / "run"), "at", "2026-01-10", hot_days=7, waiting=F.col("id") == 5)
+    assert report.waiting == ["2026-01-02"] and report.pruned == ["2026-01-01"] and not report.failures
+    assert left.count() == 75 and {r.status for r in after.collect()} == {"pruned"}
     archive.write_handoff(rows.withColumn("full_text", F.lit("y" * 9)), str(tmp_path / "h"), most=5)
     assert feeds.read_handoff(spark, str(tmp_path / "h"), "id bigint, full_text string").filter("full_text = 'yyyyy'").count() == 100
     archive.write_bodies(rows, str(tmp_path / "b"), "at")
@@ -105,6 +231,13 @@ def test_archive(spark, tmp_path):
         assert "body" in json.loads(f.readline())
 
 
+def test_documents_from_files(spark, tmp_path):
+    (tmp_path / "a.xml").write_bytes(feeds.packed("<rss></rss>"))
+    (tmp_path / "b.xml").write_bytes(b"x" * 5000)
+    got = {r.path.rsplit("/", 1)[1]: (r.text, r.error) for r in feeds.read_documents(spark, str(tmp_path), 1000).collect()}
+    assert got == {"a.xml": ("<rss></rss>", None), "b.xml": (None, "too large")}
+
+
 def test_streaming(spark, tmp_path):
     spark.createDataFrame([("a", "2026-01-01 00:00:00"), ("a", "2026-01-01 01:00:00"), ("b", "2026-01-02 00:00:00")], "k string, t string").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("k string, t string").parquet(str(tmp_path / "in")).select("k", F.col("t").cast("timestamp").alias("t"))
@@ -112,7 +245,10 @@ def test_streaming(spark, tmp_path):
     query = ingest.micro_batches(ingest.deduplicated(stream, "k", "t"), lambda df, i: seen.extend(r.k for r in df.collect()), str(tmp_path / "c"))
     query.awaitTermination(60)
     assert sorted(seen) == ["a", "b"]
-    assert ingest.tumbling_counts(stream, "t", "k").isStreaming
+    assert ingest.tumbling_counts(stream, "t", "k", slide="1 hour").isStreaming
+
+
+# ---------------------------------------------------------------- entities and texts
 
 
 def test_entities(spark):
@@ -121,57 +257,6 @@ def test_entities(spark):
     found = entities.entities(mentions, articles)
     assert [(r.entity_text, r.salience) for r in found.orderBy(F.desc("salience")).collect()] == [("Acme", 0.7), ("Paris", 0.4)]
     assert entities.evidence(found, ["paris"]).first()["keys"] == ["acme"]
-    scores = spark.sql("select map('sports', 0.6d, 'cricket', 0.5d) as a, map('x', 0.2d) as b, map('p', 0.4d, 'q', 0.9d, 'r', 0.1d) as c")
-    got = scores.select(entities.pick_category(F.col("a")).alias("a"), entities.pick_category(F.col("b")).alias("b"), entities.pick_tags(F.col("c")).alias("c")).first()
-    assert (got.a, got.b, got.c) == ("cricket", "general", ["q", "p"])
-
-
-def at_cosine(base, cosine, seed):
-    other = np.random.default_rng(seed).normal(size=base.size)
-    other -= other @ base * base
-    return cosine * base + np.sqrt(1 - cosine**2) * other / np.linalg.norm(other)
-
-
-def test_fold():
-    base = np.eye(768)[0]
-    hour = 3600
-    rows = [
-        (1, 0, base, "A"), (2, hour, at_cosine(base, 0.95, 1), "a "), (3, hour, at_cosine(base, 0.5, 2), "b"), (4, 2 * hour, at_cosine(base, 0.9, 3), None),
-        (5, 40 * hour, base, "c"), (6, 3 * hour, np.zeros(768), "d"), (7, 3 * hour, np.full(768, np.nan), "d"), (8, 3 * hour, None, "d"),
-    ]
-    got = clustering.fold(pd.DataFrame(rows, columns=["article_id", "t", "vector", "domain"]), clustering.Rules()).set_index("article_id")
-    assert got.loc[[1, 2, 3, 4, 5], "cluster_id"].tolist() == [1, 1, 3, 1, 5]  # 5 comes after the gap
-    assert got.loc[[1, 2, 3], "action"].tolist() == ["seed", "join", "seed"] and got.loc[4, "outlet_count"] == 2 and got.loc[4, "article_count"] == 3
-    assert got.loc[[6, 7, 8], "action"].tolist() == ["invalid"] * 3
-    assert got.loc[2, "similarity"] == pytest.approx(0.95, abs=1e-3)
-
-
-def test_merge_plan():
-    c = pd.DataFrame([(1, 5, 2, 3, 0.9), (2, 3, 1, 5, 0.91), (3, 1, 4, 1, 0.95), (2, 3, 3, 1, 0.85), (9, 1, None, None, None), (7, 1, 8, 2, 0.5)], columns=["probe", "probe_n", "other", "other_n", "similarity"])
-    assert clustering.plan_merges(c, 0.8).values.tolist() == [[3, 4, 0.95], [1, 2, 0.91]]
-
-
-def test_merge_plan_over_all_vectors(spark):
-    """c6 against brute force over every vector, and the blocks against one block."""
-    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
-    by_model = {}
-    for r in e.collect():
-        by_model.setdefault(str(r.label % 5), []).append((r.vec_id, np.array(r.embedding, dtype=float)))
-    want, partners = set(), set()
-    for model, held in by_model.items():
-        held.sort(key=lambda x: x[0])
-        ids, x = [i for i, _ in held], np.stack([v for _, v in held])
-        s = np.round(x @ x.T, 12)
-        np.fill_diagonal(s, -np.inf)
-        best = [(i, ids[k], s[n, k]) for n, (i, k) in enumerate(zip(ids, s.argmax(axis=1), strict=True))]
-        partners |= {(model, i, o) for i, o, _ in best}
-        plan = clustering.plan_merges(pd.DataFrame([(i, i % 3, o, o % 3, v) for i, o, v in best], columns=["probe", "probe_n", "other", "other_n", "similarity"]), 0.2)
-        want |= {(model, w, l, round(v, 9)) for w, l, v in plan.itertuples(index=False)}
-    assert {(r.model, r.winner, r.loser, round(r.similarity, 9)) for r in native.c6_plan_merges(spark, "/root/testdata/sf0.001").collect()} == want and want
-    vectors = e.select((F.col("label") % 5).cast("string").alias("model"), "vec_id", "embedding")
-    for block in (7, 2048):
-        assert {(r.model, r.probe, r.other) for r in clustering.best_partners(vectors, block).collect()} == partners
-    assert clustering.best_partners(vectors.limit(0)).collect() == []
 
 
 def plain_clean(text):
@@ -195,18 +280,3 @@ def test_cleaned_text(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     got = native.x20_cleaned_text(spark, "/root/testdata/sf0.001").collect()
     assert len(got) == len(docs) and all(r.cleaned == plain_clean(docs[r.doc_id]) for r in got)
-
-
-def test_tag_head(spark):
-    rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()
-    x, labels = np.array([r.embedding for r in rows], dtype=float), np.array([r.label for r in rows])
-    tags = sorted(set(labels.tolist()))
-    p = 1 / (1 + np.exp(-x @ np.stack([x[labels == t].mean(axis=0) for t in tags]).T))
-    want = {}
-    for r, q in zip(rows, p, strict=True):
-        best = [k for k in np.argsort(-q) if q[k] >= (0.4 if tags[k] < 5 else 0.6)][:3]
-        want[r.vec_id] = [(tags[k], round(q[k], 9)) for k in best]
-    got = {r.vec_id: [] for r in rows}
-    for r in sorted(native.x32_tag_head_vectors(spark, "/root/testdata/sf0.001").collect(), key=lambda r: r.place):
-        got[r.vec_id].append((r.tag, round(r.p, 9)))
-    assert got == want and max(len(v) for v in want.values()) == 3
