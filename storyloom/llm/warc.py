@@ -2,29 +2,33 @@
 
 Responses are rows of WARC fields and an HTTP message.  Each gives one metadata record (title, language, links)
 and one conversion record (plain text); both keep target URI and date, refer to the response by its id, and carry
-the response's HTTP headers whole and its digests beside digests of their own.  All of it is DataFrame functions but
-the decoding of entities, which is the standard library's.
+the response's HTTP headers whole and its digests beside digests of their own.  Text and
+entities are read by page in Arrow batches, in linear time even where pages are broken.
 """
 
 from __future__ import annotations
 
 import gzip
 import html as entities
+import re
 from collections.abc import Iterator
 from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .common import small_batches
 
 DATE = "2026-01-01T00:00:00Z"
-#: Elements whose content is no text.
-_HIDDEN = r"(?is)<!--.*?-->|<(script|style|head|nav|noscript|template)\b[^>]*>.*?</\1\s*>"
+#: Opens what holds no text; ends of it by name.
+_OPENS = re.compile(r"<!--|<(script|style|head|nav|noscript|template)\b", re.I)
+_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "head", "nav", "noscript", "template")}
 #: Elements that end a line.
-_BLOCK = r"(?i)<(?:/?(?:p|div|h[1-6]|li|ul|ol|tr|table|article|section|blockquote|header|footer|main|body|html)|br|hr)\b[^>]*>"
-_TAG = r"<[^<>]*>"
+_BLOCK = re.compile(r"<(?:/?(?:p|div|h[1-6]|li|ul|ol|tr|table|article|section|blockquote|header|footer|main|body|html)|br|hr)\b[^<>]*>", re.I)
+_TAG = re.compile(r"<[^<>]*>")
+_SPACE = re.compile(r"[ \t\n\r\f\v]+")
 
 
 def record_id(kind: Column, *of: Column) -> Column:
@@ -38,24 +42,46 @@ def digest(x: Column) -> Column:
     return F.concat(F.lit("sha1:"), F.sha1(x.cast("binary")))
 
 
-def unescape(x: Column) -> Column:
+@F.pandas_udf(StringType())
+def unescape(texts: pd.Series) -> pd.Series:
     """All named and numeric entities decoded as HTML5 has it; a no-break space is a space."""
+    return texts.map(lambda t: entities.unescape(t).replace("\xa0", " ") if isinstance(t, str) and "&" in t else t)
 
-    @F.pandas_udf("string")
-    def decoded(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: entities.unescape(t).replace("\xa0", " ") if isinstance(t, str) and "&" in t else t)
 
-    return decoded(x)
+def visible(html: str) -> str:
+    """The page without comments and elements that hold no text; one that is never closed stays.
 
-
-def plain_text(html: Column) -> Column:
-    x = F.regexp_replace(html, _HIDDEN, " ")
-    x = F.regexp_replace(x, r"\s+", " ")
-    x = F.regexp_replace(x, _BLOCK, "\n")
-    x = unescape(F.regexp_replace(x, _TAG, ""))
-    x = F.regexp_replace(x, r"[ \t\r\f\x0B]+", " ")
-    x = F.regexp_replace(x, r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(x, r"^[ \n]+|[ \n]+$", "")
+    An end that was not found once is not sought again, so broken pages take linear time too.
+    """
+    out, at, pos, open_ended = [], 0, 0, set()
+    while m := _OPENS.search(html, pos):
+        name, end = (m[1] or "").lower(), None
+        if name not in open_ended:
+            if not name:
+                end = html.find("-->", m.end()) + 3
+            elif (k := html.find(">", m.end())) >= 0 and (close := _ENDS[name].search(html, k + 1)):
+                end = close.end()
+            if not end or end < m.end():
+                open_ended.add(name)
+                end = None
+        if end is None:
+            pos = m.end()
+            continue
+        out += [html[at : m.start()], " "]
+        at = pos = end
+    return "".join(out) + html[at:]
+
+
+def page_text(html: str) -> str:
+    """Plain text of a page: lines at block elements, tags out, entities decoded, space collapsed."""
+    x = _TAG.sub("", _BLOCK.sub("\n", _SPACE.sub(" ", visible(html))))
+    x = re.sub(r"[ \t\r\f\v]+", " ", entities.unescape(x).replace("\xa0", " "))
+    return re.sub(r" ?\n[ \n]*", "\n", x).strip(" \n")
+
+
+@F.pandas_udf(StringType())
+def plain_text(html: pd.Series) -> pd.Series:
+    return html.map(lambda x: None if x is None else page_text(x))
 
 
 def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
@@ -84,11 +110,11 @@ def derivatives(records: DataFrame) -> DataFrame:
     small_batches(records.sparkSession)
     rows = records.filter("warc_type = 'response'").withColumn("payload", F.coalesce("payload", F.lit("")))
     source_type = F.regexp_extract("http_headers", r"(?i)(?:^|\r\n)Content-Type: ([^\r\n]*)", 1)
-    title = F.regexp_extract("payload", r"(?is)<title[^>]*>(.*?)</title>", 1)
+    title = F.regexp_extract("payload", r"(?i)<title[^<>]*>([^<]*)", 1)
     title = F.trim(F.regexp_replace(unescape(title), r"\s+", " "))
-    lang = F.regexp_extract("payload", r"(?is)<html[^>]*\slang=\"([^\"]*)\"", 1)
-    links = F.regexp_extract_all("payload", F.lit(r"(?i)<a\s[^>]*href=\"([^\"]*)\""), 1)
-    rows = rows.withColumns({"title_text": title, "plain_text": plain_text(F.col("payload"))})
+    lang = F.regexp_extract("payload", r"(?i)<html[^<>]*\slang=[\"']([^\"']*)", 1)
+    links = F.regexp_extract_all("payload", F.lit(r"(?i)<a\s(?:[^<>]*\s)?href=[\"']([^\"']*)"), 1)
+    rows = rows.withColumns({"title_text": title, "plain_text": plain_text("payload")})
     meta = F.concat(
         F.lit("title: "), F.col("title_text"), F.lit("\r\nlanguage: "), lang, F.lit("\r\nfetched-payload-digest: "), F.coalesce("payload_digest", F.lit("")),
         F.array_join(F.transform(links, lambda x: F.concat(F.lit("\r\noutlink: "), x)), ""), F.lit("\r\n"),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import html as html_entities
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from urllib.parse import unquote
@@ -265,6 +267,26 @@ def test_warc(spark):
     assert warc.derivatives(warc.responses(pages.limit(0))).collect() == []
 
 
+def brute_text(html):
+    """The same rules as one expression each."""
+    x = re.sub(r"(?is)<!--.*?-->|<(script|style|head|nav|noscript|template)\b[^>]*>.*?</\1\s*>", " ", html)
+    x = re.sub(r"[ \t\n\r\f\v]+", " ", x)
+    x = re.sub(r"(?i)<(?:/?(?:p|div|h[1-6]|li|ul|ol|tr|table|article|section|blockquote|header|footer|main|body|html)|br|hr)\b[^<>]*>", "\n", x)
+    x = html_entities.unescape(re.sub(r"<[^<>]*>", "", x)).replace("\xa0", " ")
+    return re.sub(r" ?\n[ \n]*", "\n", re.sub(r"[ \t\r\f\v]+", " ", x)).strip(" \n")
+
+
+def test_page_text(spark):
+    """Every page of the test data against the plain expressions, and broken pages in linear time."""
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    odd = ["", "<script>", "<!-- a <p>b", "a<!-- x -->b<script>c</script >d<STYLE>e</style>", "<nav>x<p>y", "<p><p<p>z", "<head>h</head><script>s", "x<template><template>y</template>z"]
+    assert all(warc.page_text(x) == brute_text(x) for x in pages + odd)
+    began = time.time()
+    for x in ("<script>" * 200_000, "<!--" * 400_000, "<p" * 500_000, "<nav" * 300_000, "<title>" * 200_000, "&amp" * 300_000):
+        warc.page_text(x)
+    assert time.time() - began < 20
+
+
 def test_warc_query_returns_blocks(spark):
     got = queries.op4_warc_derivatives(spark, SF).collect()
     assert len(got) == 2 * spark.read.parquet(f"{SF}/pages.parquet").count()
@@ -560,3 +582,24 @@ def test_pipeline(spark):
         docs = spark.createDataFrame(out.collect(), out.schema)
     assert set(corpus_pipeline.run(spark, SF).columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
     assert F is not None
+
+
+COLUMNS = {
+    "op1_fingerprints": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next", "op2_shards": "doc_id size text_crc32 law shard slot grown_shard", "op3_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op4_warc_derivatives": "page_id warc_type record_id refers_to block", "op5_chat": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars", "op6_weak_supervision": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op7_quality_classifier": "doc_id held_out score predicted", "op8_near_duplicates": "doc_id n_shingles component_id kept", "op9_mixing": "doc_id probability drawn", "op10_line_dedup": "doc_id n_lines n_dropped kept_sha256",
+}
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_registered_query(spark, name):
+    """The thin query itself: its contract's columns and rows, and its SQL where there is one."""
+    from test_queries import compare
+
+    out = queries.QUERIES[name](spark, SF)
+    assert set(COLUMNS[name].split()) <= set(out.columns)
+    if name in queries.SQL:
+        compare(out, queries.SQL[name], SF)
+    else:
+        table, times = ("pages", 2) if name == "op4_warc_derivatives" else ("documents", 1)
+        assert out.count() == times * spark.read.parquet(f"{SF}/{table}.parquet").count()
