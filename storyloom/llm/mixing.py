@@ -74,21 +74,48 @@ def targeted(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     return out.fillna(0.0, [f"{dim}_target" for dim in targets])
 
 
-def _error(cells: DataFrame, dims: list[str]) -> float:
-    """Largest relative error of the drawn marginals (probability * tokens) of cells that carry their targets."""
+def within_reach(cells: DataFrame, targets: dict[str, DataFrame], fraction: float, slack: float) -> tuple[dict[str, DataFrame], float]:
+    """(targets, share) that values can give: none asks for more than ROOM of its tokens at a draw of `share` of all.
+
+    A value that holds too little for its target lowers the share only as far as the marginal would else miss by more
+    than slack; beyond that its target is what it holds, and the others share out the rest.  So a value that hardly
+    occurs cannot shrink the draw.
+    """
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    held = {d: t.join(cells.groupBy(d).agg((F.sum("tokens") / total).alias("held")), d).select(d, "target", "held") for d, t in targets.items()}
+    rooms = [h.filter(F.col("target") > slack).agg(F.min(F.col("held") / (F.col("target") - slack))).first()[0] for h in held.values()]
+    share = min([fraction, *[ROOM * r for r in rooms if r is not None]])
+    out = {}
+    for d, h in held.items():
+        most = ROOM / share * F.col("held")
+        eased = h
+        for _ in range(4):
+            full, free = eased.agg(F.sum(F.when(F.col("target") >= most, most)), F.sum(F.when(F.col("target") < most, F.col("target")))).first()
+            scale = (1 - (full or 0.0)) / free if free else 1.0
+            eased = eased.withColumn("target", F.when(F.col("target") >= most, most).otherwise(F.col("target") * scale))
+        out[d] = eased.select(d, "target")
+    return out, share
+
+
+def _error(cells: DataFrame, dims: list[str], relative: bool = True) -> float:
+    """Largest error of the drawn marginals (probability * tokens) of cells that carry their targets."""
     drawn = F.col("probability") * F.col("tokens")
     whole = F.sum(drawn).over(W.partitionBy())  # one row per cell
-    off = [F.when(F.col(f"{d}_target") > 0, F.abs(F.sum(drawn).over(W.partitionBy(d)) / whole / F.col(f"{d}_target") - 1)).otherwise(0.0) for d in dims]
+    by = lambda d: F.col(f"{d}_target") if relative else F.lit(1.0)
+    off = [F.when(F.col(f"{d}_target") > 0, F.abs(F.sum(drawn).over(W.partitionBy(d)) / whole - F.col(f"{d}_target")) / by(d)).otherwise(0.0) for d in dims]
     return float(cells.select(F.greatest(*off).alias("off") if len(off) > 1 else off[0].alias("off")).agg(F.max("off")).first()[0] or 0)
 
 
-def probabilities(cells: DataFrame, targets: dict[str, DataFrame], fraction: float, rounds: int = ROUNDS) -> DataFrame:
+def probabilities(cells: DataFrame, targets: dict[str, DataFrame], fraction: float, rounds: int = ROUNDS, slack: float = 0.0) -> DataFrame:
     """cells with the probability at which to draw each: probability * tokens has the target marginals.
 
     The drawn share of all tokens is `fraction`, or less where a value holds too few tokens for its target.  A step
     fits one marginal exactly: cells that would pass 1 give all they hold, and the factor of the rest makes up for
     it.  Where that does not come CLOSE, plain raked weights are scaled by the largest ratio, so none passes 1.
+    slack: how far a marginal may miss its target, in points of share, rather than shrink the draw (see within_reach).
     """
+    if slack:
+        targets, fraction = within_reach(cells, targets, fraction, slack)
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     out = materialize(targeted(cells, targets), "targets")
     room = [F.when(F.col(f"{d}_target") > 0, F.sum("tokens").over(W.partitionBy(d)) / (F.col(f"{d}_target") * total)) for d in targets]
@@ -106,18 +133,19 @@ def probabilities(cells: DataFrame, targets: dict[str, DataFrame], fraction: flo
             out = out.withColumn("weight", F.col("weight") * F.coalesce(F.max("factor").over(W.partitionBy(dim)), F.lit(0.0))).drop("ratio", "factor")
         out = materialize(out, "raked")
     out = out.withColumn("probability", F.least(F.lit(1.0), F.col("weight") / F.col("tokens")))
-    if _error(out, list(targets)) > CLOSE:
+    if _error(out, list(targets), not slack) > (slack or CLOSE):
         out = materialize(raked(cells, targets, rounds).withColumn("ratio", F.col("weight") / F.col("tokens")), "scaled")
         top = out.agg(F.max("ratio")).first()[0] or 0.0
         out = out.withColumn("probability", F.col("ratio") * (min(fraction, 1.0 / top) if top > 0 else 0.0))
     return out.select(*cells.columns, "probability")
 
 
-def mixed(docs: DataFrame, power: float = 0.7, fraction: float = 0.5, rounds: int = ROUNDS, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+def mixed(docs: DataFrame, power: float = 0.7, fraction: float = 0.5, rounds: int = ROUNDS, targets: dict[str, DataFrame] | None = None, slack: float = 0.0) -> DataFrame:
     """doc_id, source, lang, topic, tokens, probability, drawn: every document with its calibrated probability.
 
     The expected token mix of the drawn documents has the target marginals.  It holds `fraction` of all tokens, or
-    less where a value has too few tokens for its target at that size.  targets: per dimension a frame (value, target); by
+    less where a value has too few tokens for its target at that size; with slack, such values give what they hold
+    and marginals may miss by so many points of share.  targets: per dimension a frame (value, target); by
     default token shares to `power`.  Null source and lang count as '(none)', null texts as one token.  Rows of one
     doc_id are drawn alike; a null doc_id is never drawn.  Other columns are ignored; no rows give no rows.
     """
@@ -126,7 +154,7 @@ def mixed(docs: DataFrame, power: float = 0.7, fraction: float = 0.5, rounds: in
     rows = materialize(rows, "tokens")
     cells = materialize(rows.groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")), "cells")
     targets = targets or {d: flattened(cells, d, power) for d in DIMS}
-    cells = probabilities(cells, targets, fraction, rounds)
+    cells = probabilities(cells, targets, fraction, rounds, slack)
     cells = cells.select(*DIMS, F.round(F.coalesce("probability", F.lit(0.0)), 6).alias("probability"))
     same = reduce(lambda a, b: a & b, [rows[d] == cells[d] for d in DIMS])
     out = rows.join(cells, same, "left").select(rows["doc_id"], *[rows[d] for d in DIMS], rows["tokens"], "probability")
