@@ -37,8 +37,11 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are drawn by calibrated probabilities; this is the sampling stage, so clean documents go too."""
-    drawn = mixing.mixed(docs).filter("drawn").select("doc_id").distinct()
+    """Documents are drawn by calibrated probabilities; this is the sampling stage, so clean documents go too.
+
+    Marginals may miss by half a point, so that a value which the stages before have nearly emptied does not shrink the draw.
+    """
+    drawn = mixing.mixed(docs, slack=0.005).filter("drawn").select("doc_id").distinct()
     return docs.join(drawn, "doc_id", "left_semi").select(*COLUMNS)
 
 
