@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.plans.store import HOT, discard, materialize, shared_dir, skewed_join
+from storyloom.plans.store import HOT, discard, materialize, remove, shared_dir, skewed_join
 
-__all__ = ["BATCH_ROWS", "HOT", "SPACES", "discard", "materialize", "partitions", "shared_dir", "skewed_join", "small_batches", "table", "text_bytes"]
+__all__ = ["BATCH_ROWS", "HOT", "SPACES", "discard", "materialize", "partitions", "remove", "shared_dir", "skewed_join", "small_batches", "table", "text_bytes"]
 
 #: Bytes that separate words: space, tab, newline, vertical tab, form feed, return.  bytes.split() uses the same six.
 SPACES = r"[\x20\x09-\x0D]+"

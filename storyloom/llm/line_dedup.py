@@ -3,8 +3,8 @@
 A run holds (key, docs, last) sorted by key: a line hash, the documents it was found in, the largest doc_id.
 Batches come in descending order of doc_id.  Each batch merge-anti-joins the runs: keys that no run has are new
 and enter with their keeper (no later batch can hold a larger doc_id); known keys only add to their counts.  Every
-FANOUT runs of one level are compacted into one run of the next level.  Runs are tables bucketed and sorted by key, so
-a batch is shuffled once and meets every run where it lies.
+FANOUT runs of one level are compacted into one run of the next level.  Runs are partitions of one table bucketed and
+sorted by key, so a batch is shuffled once and meets every run where it lies, and runs are merged where they lie.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, partitions, shared_dir, skewed_join, small_batches, text_bytes
+from .common import materialize, partitions, remove, shared_dir, skewed_join, small_batches, text_bytes
 
 BATCHES = 4
 FANOUT = 3
@@ -34,12 +34,13 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
 
 
 class LineRuns:
-    """The levels of sorted runs; all data stay in files of the shared folder."""
+    """The levels of sorted runs, each a number of its own; all data stay in files of the shared folder."""
 
     def __init__(self, fanout: int = FANOUT):
-        self.fanout, self.levels, self.buckets = fanout, [], None
+        self.fanout, self.levels, self.buckets, self.made = fanout, [], None, 0
+        self.name = f"line_runs_{uuid.uuid4().hex}"
 
-    def runs(self) -> list[DataFrame]:
+    def runs(self) -> list[int]:
         return [run for level in self.levels for run in level]
 
     def add(self, batch: DataFrame) -> None:
@@ -48,51 +49,43 @@ class LineRuns:
         if runs := self.runs():
             own = own.repartition(self.buckets, "key")
             for run in runs:
-                known = run.select("key", F.lit(True).alias("known")).hint("merge")
+                known = self._read([run]).select("key", F.lit(True).alias("known")).hint("merge")
                 own = own.join(known, "key", "left").select("key", "docs", F.when(F.col("known").isNull(), F.col("last")).alias("last"))
         self._put(own, 0)
 
+    def _read(self, runs: list[int]) -> DataFrame:
+        return self.spark.table(self.name).filter(F.col("run").isin(runs))
+
+    def _merged(self, runs: list[int]) -> DataFrame:
+        """Where the runs lie: one scan reads a bucket of all of them, where Spark 4.1 takes a union of bucketed scans for merged and adds up nothing."""
+        return self._read(runs).groupBy("key").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
+
     def _put(self, run: DataFrame, level: int) -> None:
-        self.buckets = self.buckets or partitions(run.sparkSession)
-        run = _bucketed(run, self.buckets)
+        if self.buckets is None:
+            self.spark = run.sparkSession
+            self.buckets, self.path = partitions(self.spark), f"{shared_dir(self.spark)}/{self.name}"
+        run = run.repartition(self.buckets, "key").withColumn("run", F.lit(self.made))
+        run.write.mode("append").partitionBy("run").bucketBy(self.buckets, "key").sortBy("key").option("path", self.path).format("parquet").saveAsTable(self.name)
         if len(self.levels) == level:
             self.levels.append([])
-        self.levels[level].append(run)
+        self.levels[level].append(self.made)
+        self.made += 1
         if len(self.levels[level]) >= self.fanout:
             merged, self.levels[level] = self.levels[level], []
-            self._put(_merged(merged), level + 1)
-            _drop(merged)
+            self._put(self._merged(merged), level + 1)
+            for old in merged:
+                remove(self.spark, f"{self.path}/run={old}")
+            self.spark.catalog.refreshTable(self.name)
 
     def frequent(self, min_docs: int) -> DataFrame:
         """(key, docs, last) of the keys found in at least min_docs documents."""
-        return _merged(self.runs()).filter(F.col("docs") >= min_docs)
+        return self._merged(self.runs()).filter(F.col("docs") >= min_docs)
 
     def close(self) -> None:
-        _drop(self.runs())
-        self.levels = []
-
-
-def _bucketed(run: DataFrame, buckets: int) -> DataFrame:
-    """run as a table in one sorted file for each bucket of its key."""
-    spark, name = run.sparkSession, f"line_run_{uuid.uuid4().hex}"
-    path = f"{shared_dir(spark)}/{name}"
-    run.repartition(buckets, "key").write.bucketBy(buckets, "key").sortBy("key").option("path", path).format("parquet").saveAsTable(name)
-    out = spark.table(name)
-    out.scratch, out.table_name = path, name
-    return out
-
-
-def _drop(runs: list[DataFrame]) -> None:
-    for run in runs:
-        run.sparkSession.sql(f"DROP TABLE IF EXISTS {run.table_name}")
-        discard(run)
-
-
-def _merged(runs: list[DataFrame]) -> DataFrame:
-    out = runs[0]
-    for run in runs[1:]:
-        out = out.unionByName(run)
-    return out.groupBy("key").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
+        if self.buckets is not None:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+            remove(self.spark, self.path)
+        self.levels, self.buckets = [], None
 
 
 def document_lines(docs: DataFrame, min_chars: int) -> DataFrame:

@@ -490,6 +490,23 @@ def test_runs_compact(spark):
     assert [(bytes(r.key), r.last) for r in runs.frequent(4).collect()] == [(b"a", 10)]
 
 
+@pytest.mark.parametrize("batches", [4, 7])
+def test_lines_spread_over_batches(spark, batches):
+    """A line that no batch holds often enough is counted over all of them; runs are merged with no exchange."""
+    spread = "The Same Line, Spread Thinly Over The Whole Of The Table"
+    texts = [f"document {i} has a line of its own, forty characters or more\n" + (spread if i % 10 == 3 else "x") for i in range(50)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = Counter(map(tuple, line_dedup.line_dedup(df, batches=batches).collect()))
+    assert got == brute_lines(list(enumerate(texts))) and sum(r[2] for r in got) == 4
+    runs = line_dedup.LineRuns()
+    for k in range(batches):
+        runs.add(spark.createDataFrame([(100 - k, bytearray(b"a")), (100 - k, bytearray(str(k).encode()))], "doc_id bigint, key binary"))
+    merged = runs.frequent(1)
+    assert sorted((bytes(r.key), r.docs, r.last) for r in merged.collect()) == sorted([(str(k).encode(), 1, 100 - k) for k in range(batches)] + [(b"a", batches, 100)])
+    assert "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+    runs.close()
+
+
 # ---------------------------------------------------------------- mixing
 
 
