@@ -2,7 +2,8 @@
 
 Every assistant turn becomes an example of its own: all preceding turns are context, only that reply is trainable.
 An example is stored as the segment that it adds to the one before it, so a conversation of n turns takes space in
-proportion to its length; `whole_examples` streams the examples whole, `full_text` puts a single one together again.
+proportion to its length; `whole_examples` streams the examples whole, `read_back` reads the digests from these, and
+`full_text` puts a single one together again.
 """
 
 from __future__ import annotations
@@ -41,13 +42,16 @@ def _rows(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator
         yield from zip(*(b.column(n).to_pylist() for n in names), strict=True)
 
 
-def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 256) -> Iterator[pa.RecordBatch]:
+def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 256, chars: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """Batches of size rows, or fewer where their strings reach chars code points."""
     held: list[tuple] = []
+    room = chars
     for row in rows:
         held.append(row)
-        if len(held) == size:
+        room -= sum(len(v) for v in row if isinstance(v, str))
+        if len(held) == size or room <= 0:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
-            held = []
+            held, room = [], chars
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
 
@@ -96,11 +100,12 @@ def expand(turns: DataFrame) -> DataFrame:
     return rows.mapInArrow(lambda batches: _batched(segments(batches), _SEGMENT_SCHEMA), SEGMENTS)
 
 
-def whole_examples(segments: DataFrame) -> DataFrame:
+def whole_examples(segments: DataFrame, rest: bool = False) -> DataFrame:
     """conv_id, example, text, loss_start, loss_chars: every example whole, context and reply, from expand()'s rows as they come.
 
-    loss_start counts from the start of text.  Turns after the last reply are no example.  Must follow expand() with
-    no shuffle between; memory holds one conversation and a batch of its examples.
+    loss_start counts from the start of text.  Turns after the last reply are no example; with rest they too make a row,
+    the whole conversation with no loss (loss_start null).  Must follow expand() with no shuffle between; memory holds one
+    conversation and a batch of its examples.
     """
     schema = pa.schema([("conv_id", pa.int64()), ("example", pa.int64()), ("text", pa.string()), ("loss_start", pa.int64()), ("loss_chars", pa.int64())])
 
@@ -110,10 +115,12 @@ def whole_examples(segments: DataFrame) -> DataFrame:
             text += segment
             if start is not None:
                 yield conv, example, text, prefix + start, chars
+            elif rest:
+                yield conv, example, text, None, 0
             if last:
                 text = ""
 
-    return segments.mapInArrow(lambda batches: _batched(whole(batches), schema, 16), "conv_id bigint, example bigint, text string, loss_start bigint, loss_chars bigint")
+    return segments.mapInArrow(lambda batches: _batched(whole(batches), schema), "conv_id bigint, example bigint, text string, loss_start bigint, loss_chars bigint")
 
 
 def full_text(segments: list[str], example: int) -> str:
@@ -124,25 +131,42 @@ def full_text(segments: list[str], example: int) -> str:
 def read_back(segments: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, from expand()'s rows as they come.
 
-    Must follow expand() with no shuffle between: the segments of a conversation stand in order in one partition.
+    They are expanded to whole examples, and read from these.  Must follow expand() with no shuffle between.
+    """
+    return read_examples(whole_examples(segments, rest=True))
+
+
+def read_examples(examples: DataFrame) -> DataFrame:
+    """read_back()'s columns from whole_examples()' rows with rest, as they come.
+
+    Every example must hold the one before it as the start of its context, and its loss must be its last turn's text; else
+    this fails.  So a turn counts once, in the first example that holds it, and formatted_chars is the longest's length.
     """
     schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        fresh = True
-        for conv, segment, start, chars, last in _rows(batches, ("conv_id", "segment", "loss_start", "loss_chars", "last")):
-            if fresh:
-                turns, losses, n, n_loss, n_chars, fresh = hashlib.sha256(), hashlib.sha256(), 0, 0, 0, False
-            for role, text in _TURN.findall(segment):
-                turns.update(f"{unescape(role)}\n{unescape(text)}\n".encode())
-                n += 1
+        at, text = (), ""
+        for conv, example, whole, start, chars in _rows(batches, ("conv_id", "example", "text", "loss_start", "loss_chars")):
+            if (conv,) != at:
+                if at:
+                    yield at[0], n, turns.hexdigest(), n_loss, losses.hexdigest(), len(text)
+                at, text, turns, losses, n, n_loss = (conv,), "", hashlib.sha256(), hashlib.sha256(), 0, 0
+            if not whole.startswith(text):
+                raise ValueError(f"example {example} of conversation {conv} lacks the context of the one before it")
+            end, text, span = len(text), whole, None
+            while end < len(text):
+                turn = _TURN.match(text, end)
+                if not turn:
+                    raise ValueError(f"example {example} of conversation {conv} has no turn at {end}")
+                turns.update(f"{unescape(turn[1])}\n{unescape(turn[2])}\n".encode())
+                n, end, span = n + 1, turn.end(), turn.span(2)
             if start is not None:
-                loss = unescape(segment[start : start + chars])
+                if span != (start, start + chars):
+                    raise ValueError(f"the loss of example {example} of conversation {conv} is not its last turn")
+                loss = unescape(text[start : start + chars])
                 losses.update(loss.encode())
                 n_loss += len(loss)
-            n_chars += len(segment)
-            if last:
-                yield conv, n, turns.hexdigest(), n_loss, losses.hexdigest(), n_chars
-                fresh = True
+        if at:
+            yield at[0], n, turns.hexdigest(), n_loss, losses.hexdigest(), len(text)
 
-    return segments.mapInArrow(lambda batches: _batched(digests(batches), schema), "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
+    return examples.mapInArrow(lambda batches: _batched(digests(batches), schema), "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")

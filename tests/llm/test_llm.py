@@ -351,6 +351,27 @@ def test_chat_whole_examples(spark):
     assert chat.whole_examples(chat.expand(df.limit(0))).collect() == []
 
 
+def test_chat_reads_whole_examples(spark):
+    """Digests come from examples that hold their whole context: a context or a loss that is wrong shows."""
+    turns = [(c, i, "assistant" if i % 3 == 2 else "user", f"turn {i} [<s> of {c}") for c in (1, None) for i in range(10)] + [(3, 0, "user", "q")]
+    df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    examples = chat.whole_examples(chat.expand(df), rest=True)
+    got = {(r.conv_id, r.example): (r.text.count("</s>"), r.loss_start is None) for r in examples.collect()}
+    assert got == {(c, k): (min(3 * k + 3, 10), k == 3) for c in (1, None) for k in range(4)} | {(3, 0): (1, True)}
+    read = rows(chat.read_examples(examples))
+    assert read == rows(chat.read_back(chat.expand(df))) and {(r[0], r[1]) for r in read} == {(1, 10), (None, 10), (3, 1)}
+    later = (F.col("conv_id") == 1) & (F.col("example") == 2)
+    for wrong, why in (
+        (examples.withColumn("text", F.when(later, F.replace("text", F.lit("turn 0"), F.lit("turn 8"))).otherwise(F.col("text"))), "lacks the context"),
+        (examples.withColumn("text", F.when(later, F.expr("substr(text, 10)")).otherwise(F.col("text"))), "lacks the context"),
+        (examples.withColumn("loss_start", F.when(later, F.col("loss_start") - 1).otherwise(F.col("loss_start"))), "is not its last turn"),
+    ):
+        with pytest.raises(Exception, match=why):
+            chat.read_examples(wrong).collect()
+    # the registered query expands, makes the examples whole and reads them
+    assert queries.op5_chat(spark, SF)._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 3
+
+
 # ---------------------------------------------------------------- quality
 
 
