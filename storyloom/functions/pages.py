@@ -8,6 +8,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections.abc import Callable
 from html.parser import HTMLParser
 from urllib.parse import parse_qs, urljoin, urlparse
 
@@ -261,15 +262,23 @@ def linked_pdf(html: pd.Series, base: pd.Series) -> pd.Series:
 FRAME_WORDS = ("subscribe", "newsletter", "follow", "advertisement", "click", "tap", "share", "tweet", "copyright", "disclaimer")
 
 
+def _with(x: Column, use: Callable[[Column], Column]) -> Column:
+    """use(x) with x computed once."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
 def text_score(text: Column) -> Column:
-    """Words, less four times the share of frame words, by nine tenths at most."""
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"(?U)\s+"), lambda w: w != "")
-    n = F.size(words)
-    framed = F.size(F.filter(words, lambda w: F.lower(w).isin(*FRAME_WORDS)))
-    return F.when(n == 0, 0.0).otherwise(n * (1.0 - F.least(framed * 4.0 / n, F.lit(0.9))))
+    """Words, less four times the share of frame words, by nine tenths at most.  The text is split once."""
+    words = F.split(F.coalesce(text, F.lit("")), r"(?U)\s+")
+    counted = _with(words, lambda ws: F.struct(F.size(F.filter(ws, lambda w: w != "")).alias("n"), F.size(F.filter(ws, lambda w: F.lower(w).isin(*FRAME_WORDS))).alias("framed")))
+    return _with(counted, lambda c: F.when(c["n"] == 0, 0.0).otherwise(c["n"] * (1.0 - F.least(c["framed"] * 4.0 / c["n"], F.lit(0.9)))))
+
+
+def best_scored(candidates: Column) -> Column:
+    """struct(s, i, t): the text of an array that scores best, the first of equals, with its score; null if there is none."""
+    return F.array_max(F.transform(F.filter(candidates, lambda t: F.coalesce(t, F.lit("")) != ""), lambda t, i: F.struct(text_score(t).alias("s"), (-i).alias("i"), t.alias("t"))))
 
 
 def best_text(candidates: Column) -> Column:
     """Of an array of texts the one that scores best, the first of equals; '' if there is none."""
-    scored = F.transform(F.filter(candidates, lambda t: F.coalesce(t, F.lit("")) != ""), lambda t, i: F.struct(text_score(t).alias("s"), (-i).alias("i"), t.alias("t")))
-    return F.coalesce(F.array_max(scored)["t"], F.lit(""))
+    return F.coalesce(best_scored(candidates)["t"], F.lit(""))

@@ -204,8 +204,8 @@ SELECT doc_id, CAST(round(max(s), 4) AS DOUBLE) AS score FROM s GROUP BY 1 UNION
 def x21_best_fulltext(spark, sf_dir):
     """The best of three candidates: the whole text, its headline with frame words, its first 300 characters."""
     framed = F.concat(F.substring_index("text", "\n", 1), F.repeat(F.lit(" Subscribe tap"), (F.col("doc_id") % 5).cast("int")))
-    best = P.best_text(F.array("text", framed, F.left("text", F.lit(300))))
-    return read(spark, sf_dir, "documents").select("doc_id", F.round(P.text_score(best), 4).alias("score"))
+    best = P.best_scored(F.array("text", framed, F.left("text", F.lit(300))))
+    return read(spark, sf_dir, "documents").select("doc_id", F.round(F.coalesce(best["s"], F.lit(0.0)), 4).alias("score"))
 
 
 @query("x20_clean_cases", values(
