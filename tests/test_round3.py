@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from storyloom.functions import enrich as E
 from storyloom.functions import pages as P
 
 
@@ -16,3 +17,14 @@ def test_a_text_is_split_once(spark):
     df = spark.createDataFrame(rows, "id bigint, text string").select("id", P.text_score(F.col("text")).alias("s"))
     assert plan(df).count("split(") == 1
     assert {r.id: round(r.s, 6) for r in df.collect()} == {0: 0, 1: 0, 2: 0, 3: 0.4, 4: 3, 5: round(51 * (1 - 4 / 51), 6), 6: 0.2}
+
+
+def test_keywords_meet_as_texts(spark):
+    """Phrases are counted where their key's words meet, also of a key that occurs twice; none is a row of a shuffle."""
+    rows = [(1, "Storm hits coast", "The storm hits. Storm warnings: storm, coast, read more read more"), (2, "Short", ""), (1, "Other title", "warnings were given for the storm and for the coast"), (None, "A null key", "has words of its own, and read more words")]
+    df = E.keywords(spark.createDataFrame(rows, "id bigint, title string, body string"), "id", F.col("title"), F.col("body"), F.lit(None).cast("string"), 4)
+    assert "explode" not in plan(df) and "MapInArrow" in plan(df)
+    got: dict = {}
+    for r in sorted(df.collect(), key=lambda r: r.place):
+        got.setdefault(r.id, []).append(r.keyword)
+    assert got == {1: ["storm", "storm hits", "coast", "for the"], None: ["null key", "and read", "has words", "its own"]}
