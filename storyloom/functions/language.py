@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,6 +57,11 @@ def letters(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{Mn}\p{Mc}]", "")
 
 
+def held(x: Column, use: Callable[[Column], Column]) -> Column:
+    """use(x) with x computed once."""
+    return F.get(F.transform(F.array(x), use), F.lit(0))
+
+
 def in_block(only: Column, block: str) -> Column:
     return F.length(F.regexp_replace(only, f"[^{block}]", ""))
 
@@ -64,12 +71,23 @@ def script_counts(only: Column, latin: bool = True) -> Column:
 
     Arrays compare by (n, early), and early is larger the sooner a script appears, so array_max gives the leading one.
     """
-    blocks = SCRIPTS | {"latn": LATIN}
-    early = lambda block: -F.length(F.regexp_extract(only, f"^[^{block}]*", 0))
-    one = lambda name, block: F.struct(in_block(only, block).alias("n"), early(block).alias("early"), F.lit(name).alias("script"))
-    every = "".join(blocks.values())
-    other = F.struct(F.length(F.regexp_replace(only, f"[{every}]", "")).alias("n"), (-F.length(F.regexp_extract(only, f"^[{every}]*", 0))).alias("early"), F.lit("other").alias("script"))
-    return F.array(*[one(k, b) for k, b in blocks.items() if latin or k != "latn"], other)
+    every = "".join(SCRIPTS.values()) + LATIN
+    whole = -F.length(only)
+
+    def one(name: str, n: Column, block: str) -> Column:
+        """The letters of a block; its first one is looked for only where there is one."""
+        early = lambda n: F.when(n > 0, -F.length(F.regexp_extract(only, f"^[{block}]*", 0))).otherwise(whole)
+        return held(n, lambda n: F.struct(n.alias("n"), early(n).alias("early"), F.lit(name).alias("script")))
+
+    def counted(foreign: Column) -> Column:
+        """foreign: the letters that are not Latin; where there are none, no block is searched."""
+        latn = [one("latn", F.length(only) - F.length(foreign), f"^{LATIN}")] if latin else []
+        some = F.array(*[one(k, in_block(foreign, block), f"^{block}") for k, block in SCRIPTS.items()], *latn, one("other", F.length(F.regexp_replace(foreign, f"[{every}]", "")), every))
+        fixed = lambda name, n, early: F.struct(n.alias("n"), early.alias("early"), F.lit(name).alias("script"))
+        none = F.array(*[fixed(k, F.lit(0), whole) for k in SCRIPTS], *([fixed("latn", F.length(only), F.lit(0))] if latin else []), fixed("other", F.lit(0), whole))
+        return F.when(foreign == "", none).otherwise(some)
+
+    return held(F.regexp_replace(only, f"[{LATIN}]", ""), counted)
 
 
 def hits(words: Column, known: tuple[str, ...]) -> Column:
@@ -78,44 +96,47 @@ def hits(words: Column, known: tuple[str, ...]) -> Column:
 
 def devanagari_scores(text: Column) -> Column:
     """struct(mr, hi, ne): evidence for Marathi, Hindi and Nepali."""
-    words = F.regexp_extract_all(text, F.lit(WORD), 0)
     endings = f"(?:{'|'.join(MARATHI_ENDINGS)}|{MARATHI_GENITIVE})$"
-    inflected = F.size(F.filter(words, lambda w: (F.length(w) > 3) & ~w.isin(*HINDI_WORDS) & w.rlike(endings)))
-    mr = hits(words, MARATHI_WORDS) + 2 * (F.length(text) - F.length(F.replace(text, F.lit(MARATHI_LETTER), F.lit("")))) + inflected
-    return F.struct(mr.alias("mr"), hits(words, HINDI_WORDS).alias("hi"), hits(words, NEPALI_WORDS).alias("ne"))
+
+    def scores(words: Column) -> Column:
+        inflected = F.size(F.filter(words, lambda w: (F.length(w) > 3) & ~w.isin(*HINDI_WORDS) & w.rlike(endings)))
+        mr = hits(words, MARATHI_WORDS) + 2 * (F.length(text) - F.length(F.replace(text, F.lit(MARATHI_LETTER), F.lit("")))) + inflected
+        return F.struct(mr.alias("mr"), hits(words, HINDI_WORDS).alias("hi"), hits(words, NEPALI_WORDS).alias("ne"))
+
+    return held(F.regexp_extract_all(text, F.lit(WORD), 0), scores)
 
 
 def devanagari_language(scores: Column, tie: Column) -> Column:
-    mr, hi, ne = scores["mr"], scores["hi"], scores["ne"]
-    return F.when(ne > F.greatest(mr, hi), "ne").when(mr > hi, "mr").when(hi > mr, "hi").otherwise(tie)
+    return held(scores, lambda s: F.when(s["ne"] > F.greatest(s["mr"], s["hi"]), "ne").when(s["mr"] > s["hi"], "mr").when(s["hi"] > s["mr"], "hi").otherwise(tie))
 
 
 def romanised_hindi(text: Column) -> Column:
     words = F.transform(F.regexp_extract_all(text, F.lit("[A-Za-z]+"), 0), F.lower)
-    found = hits(words, ROMANISED_HINDI)
-    return (F.size(words) >= 4) & (found >= 3) & (found * 5 >= F.size(words))
+    counts = held(words, lambda w: F.struct(F.size(w).alias("n"), hits(w, ROMANISED_HINDI).alias("found")))
+    return held(counts, lambda c: (c["n"] >= 4) & (c["found"] >= 3) & (c["found"] * 5 >= c["n"]))
 
 
 def function_word_language(text: Column) -> Column:
     """Stand-in for a statistical model: the language whose function words are most frequent, null where none occurs."""
     words = F.transform(F.regexp_extract_all(text, F.lit(r"\p{L}+"), 0), F.lower)
-    best = F.array_max(F.array(*[F.struct(hits(words, w).alias("n"), F.lit(-k).alias("o"), F.lit(code).alias("code")) for k, (code, w) in enumerate(FUNCTION_WORDS.items())]))
-    return F.when(best["n"] > 0, best["code"])
+    best = held(words, lambda ws: F.array_max(F.array(*[F.struct(hits(ws, w).alias("n"), F.lit(-k).alias("o"), F.lit(code).alias("code")) for k, (code, w) in enumerate(FUNCTION_WORDS.items())])))
+    return held(best, lambda b: F.when(b["n"] > 0, b["code"]))
 
 
-def with_detected(df, out: str, body: Column, description: Column, title: Column, fallback=function_word_language, least: int = 20):
+def with_detected(df, out: str, body: Column, description: Column, title: Column, fallback=function_word_language, least: int = 20, script: str | None = None):
     """df with the detected language of the richest text's first 3,000 characters.
 
     A script with half of the letters decides; else `fallback` (a function of the sample column) on texts of `least`
-    characters or more; null under four letters.  Intermediate columns keep each regex pass to one evaluation.
+    characters or more; null under four letters.  `script` names a column for the leading script.  Intermediate columns keep each regex pass to one evaluation.
     """
-    pick = lambda *texts: F.coalesce(*[F.nullif(F.regexp_replace(F.coalesce(t, F.lit("")), r"(?U)^\s+|\s+$", ""), F.lit("")) for t in texts], F.lit(""))
+    pick = lambda *texts: F.coalesce(*[held(F.regexp_replace(F.coalesce(t, F.lit("")), r"(?U)^\s+|\s+$", ""), lambda x: F.when(x != "", x)) for t in texts], F.lit(""))
     df = df.withColumn("_text", pick(body, description, title)).withColumn("_sample", F.left("_text", F.lit(3000)))
     df = df.withColumn("_only", letters(F.col("_sample"))).withColumn("_top", F.array_max(script_counts(F.col("_only"))))
     top, sample = F.col("_top.script"), F.col("_sample")
     own = F.when(F.col("_top.n") * 2 >= F.length("_only"), F.coalesce(*[F.when(top == k, v) for k, v in SCRIPT_LANGUAGE.items()], F.when(top == "beng", F.when(sample.rlike(f"[{ASSAMESE_LETTERS}]"), "as").otherwise("bn")), F.when(top == "deva", devanagari_language(devanagari_scores(sample), F.lit("hi"))), F.when((top == "latn") & romanised_hindi(sample), "hi-latn")))
     found = F.when(F.length("_only") < 4, None).otherwise(F.coalesce(own, F.when(F.length("_text") >= least, fallback(sample))))
-    return df.withColumn(out, found).drop("_text", "_sample", "_only", "_top")
+    df = df.withColumn(out, found)
+    return (df if script is None else df.withColumn(script, top)).drop("_text", "_sample", "_only", "_top")
 
 
 def with_article_language(df, out: str, title: Column, description: Column, declared: Column):

@@ -140,9 +140,7 @@ def x9_language_code(spark, sf_dir):
 CAST(count(*) FILTER (script = 'latn') AS BIGINT) AS consistent, CAST(count(*) FILTER (script = 'latn' AND split_part(coalesce(language, ''), '-', 1) = lang) AS BIGINT) AS consistent_right FROM det GROUP BY lang""")
 def a21_language_accuracy(spark, sf_dir):
     """Detected against given language: all rows, and those whose leading script is the one of the language (Latin for all four)."""
-    rows = articles(spark, sf_dir).withColumn("whole", F.coalesce("body", "description", "title"))
-    rows = L.with_detected(rows, "language", F.col("body"), F.col("description"), F.col("title"))
-    rows = rows.withColumn("script", F.array_max(L.script_counts(L.letters(F.left("whole", F.lit(3000)))))["script"])
+    rows = L.with_detected(articles(spark, sf_dir), "language", F.col("body"), F.col("description"), F.col("title"), script="script")
     right = F.substring_index(F.coalesce("language", F.lit("")), "-", 1) == F.col("lang")
     latin = F.col("script") == "latn"
     return rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(right).alias("right_n"), F.count_if(latin).alias("consistent"), F.count_if(latin & right).alias("consistent_right"))

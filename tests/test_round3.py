@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from storyloom.functions import enrich as E
+from storyloom.functions import language as L
 from storyloom.functions import pages as P
 
 
@@ -28,3 +29,15 @@ def test_keywords_meet_as_texts(spark):
     for r in sorted(df.collect(), key=lambda r: r.place):
         got.setdefault(r.id, []).append(r.keyword)
     assert got == {1: ["storm", "storm hits", "coast", "for the"], None: ["null key", "and read", "has words", "its own"]}
+
+
+def test_language_counts_do_not_repeat(spark):
+    """Words are extracted and lower-cased once for all languages; scripts without letters are not searched; blanks before a body count on neither side."""
+    rows = [(1, "the cat and the dog is in a house of wood"), (2, "Москва и Берлин"), (3, "नमस्ते abc"), (4, ""), (5, "　" * 3000 + "ab нет")]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    once = df.select(L.function_word_language(F.col("text")).alias("x"))
+    assert plan(once).count("regexp_extract_all") == 1 and once.first().x == "en"
+    tops = {r.id: (r.t.script, r.t.n, r.t.early) for r in df.select("id", F.array_max(L.script_counts(L.letters(F.col("text")))).alias("t")).collect()}
+    assert tops == {1: ("latn", 31, 0), 2: ("other", 13, 0), 3: ("deva", 6, 0), 4: ("telu", 0, 0), 5: ("other", 3, -2)}
+    kept = L.with_detected(df, "language", F.col("text"), F.lit(None).cast("string"), F.lit(None).cast("string"), script="script")
+    assert {r.id: r.script for r in kept.collect()} == {k: v[0] for k, v in tops.items()}
