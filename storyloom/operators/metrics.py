@@ -219,12 +219,18 @@ def neighbour_pairs(vectors: DataFrame, most: int) -> DataFrame:
         y = y.sort_values("id")
         near = np.round(C.matrix(x, "vector") @ C.matrix(y, "vector").T, 9)
         near[x["id"].to_numpy()[:, None] == y["id"].to_numpy()[None, :]] = -np.inf
-        best = np.argsort(-near, axis=1, kind="stable")[:, :most]
-        row, col = np.repeat(np.arange(len(x)), best.shape[1]), best.ravel()
-        out = pd.DataFrame({"a": x["id"].to_numpy()[row], "b": y["id"].to_numpy()[col], "similarity": near[row, col]})
+        every, found = np.arange(len(x)), []
+        for _ in range(min(most, len(y))):
+            at = near.argmax(axis=1)  # the first of equals, which has the smallest id
+            found.append(pd.DataFrame({"a": x["id"].to_numpy(), "b": y["id"].to_numpy()[at], "similarity": near[every, at]}))
+            near[every, at] = -np.inf
+        out = pd.concat(found, ignore_index=True)
         return out[out["similarity"] > -np.inf]
 
-    near = C.blockwise(rows, rows, 1, run, "a bigint, b bigint, similarity double")
+    def nearest(found: pd.DataFrame) -> pd.DataFrame:
+        return found.sort_values(["a", "similarity", "b"], ascending=[True, False, True]).groupby("a", sort=False).head(most)
+
+    near = C.blockwise(rows, rows, 1, run, "a bigint, b bigint, similarity double", nearest)
     place = F.row_number().over(W.partitionBy("a").orderBy(F.desc("similarity"), "b"))
     near = near.withColumn("place", place).filter(F.col("place") <= most)
     return near.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("similarity").alias("similarity"))

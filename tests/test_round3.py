@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from storyloom.functions import enrich as E
 from storyloom.functions import language as L
 from storyloom.functions import pages as P
+from storyloom.operators import clustering as C
 
 
 def plan(df) -> str:
@@ -41,3 +42,20 @@ def test_language_counts_do_not_repeat(spark):
     assert tops == {1: ("latn", 31, 0), 2: ("other", 13, 0), 3: ("deva", 6, 0), 4: ("telu", 0, 0), 5: ("other", 3, -2)}
     kept = L.with_detected(df, "language", F.col("text"), F.lit(None).cast("string"), F.lit(None).cast("string"), script="script")
     assert {r.id: r.script for r in kept.collect()} == {k: v[0] for k, v in tops.items()}
+
+
+def test_blocks_are_bounded_and_met_in_tiles(spark):
+    """A row is sent 16 times at most, whatever the rows of its bucket; within a task, tiles give what whole blocks give."""
+    rows = spark.range(100).select(F.lit("m").alias("model"), "id", F.lit(0).alias("at"))
+    left, right, _ = C.blocks_of(rows, rows, 1, size=2)
+    assert left.count() == right.count() == 1600
+
+    def run(a, b):
+        return a[["id"]].merge(b[["id"]].rename(columns={"id": "other"}), how="cross")
+
+    def last(found):
+        return found.sort_values(["id", "other"]).groupby("id").tail(2)
+
+    schema = "id bigint, other bigint"
+    assert sorted(map(tuple, C.blockwise(rows, rows, 1, run, schema, tile=7).collect())) == sorted(("m", a, b) for a in range(100) for b in range(100))
+    assert sorted(map(tuple, C.blockwise(rows, rows, 1, run, schema, last, tile=7).collect())) == sorted(("m", a, b) for a in range(100) for b in (98, 99))
