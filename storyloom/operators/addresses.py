@@ -145,6 +145,7 @@ def simhash_pairs(hashes: DataFrame, most: int = 3) -> DataFrame:
 
     Ids of one hash are represented by the smallest.  Each band is joined together with a second one, so that pairs
     meet under 32 bits where they agree in two bands, and under 16 bits plus a count of ones where only one agrees.
+    All sides grow with the input, so they meet in shuffles: none is brought to the driver for a broadcast.
     """
     ones = hashes.filter("h <> 0").groupBy("h").agg(F.min("id").alias("id"))
     bits = lambda k: F.shiftrightunsigned("h", 16 * k).bitwiseAND(F.lit(65535))
@@ -153,7 +154,7 @@ def simhash_pairs(hashes: DataFrame, most: int = 3) -> DataFrame:
     flat = ones.select("id", "h", F.bit_count("h").alias("ones"), band)
     a = flat.select(F.col("id").alias("a"), F.col("h").alias("ha"), "band", "bits", F.col("ones").alias("near"))
     b = flat.select(F.col("id").alias("b"), F.col("h").alias("hb"), "band", "bits", F.explode(F.sequence(F.col("ones") - most, F.col("ones") + most)).alias("near"))
-    pairs = a.join(b, ["band", "bits", "near"]).filter("a < b").withColumn("distance", U.hamming(F.col("ha"), F.col("hb"))).filter(F.col("distance") <= most)
+    pairs = a.join(b.hint("merge"), ["band", "bits", "near"]).filter("a < b").withColumn("distance", U.hamming(F.col("ha"), F.col("hb"))).filter(F.col("distance") <= most)
     # a pair is given out by the first band that it shares
     x = F.col("ha").bitwiseXOR(F.col("hb"))
     lead = F.coalesce(*[F.when(F.shiftrightunsigned(x, 16 * k).bitwiseAND(F.lit(65535)) == 0, k) for k in range(4)])
@@ -190,8 +191,8 @@ def flagged(run: DataFrame, stored: DataFrame, horizon: int = 10_000) -> DataFra
     first = known.groupBy("h").agg(F.min("id").alias("first"))
     pairs = simhash_pairs(first.select(F.col("h").alias("id"), "h"))
     other = pairs.select(F.col("a").alias("h"), F.col("b").alias("o")).unionByName(pairs.select(F.col("b").alias("h"), F.col("a").alias("o")))
-    earliest = other.join(first.withColumnRenamed("h", "o"), "o").groupBy("h").agg(F.min("first").alias("near_first"))
-    rows = run.join(first, "h", "left").join(earliest, "h", "left")
+    earliest = other.join(first.withColumnRenamed("h", "o").hint("merge"), "o").groupBy("h").agg(F.min("first").alias("near_first"))
+    rows = run.join(first.hint("merge"), "h", "left").join(earliest.hint("merge"), "h", "left")
     return rows.select("id", F.coalesce((F.col("first") < F.col("id")) | (F.col("near_first") < F.col("id")), F.lit(False)).alias("near"))
 
 
