@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,8 +42,27 @@ def _folded_words(text: str | None) -> list[str]:
     return re.findall("[a-z0-9]+", unicodedata.normalize("NFKD", text or "").encode("ascii", "ignore").decode().lower())
 
 
-def simhashes(texts: list[str | None], hashed: Callable[[list[bytes]], np.ndarray]) -> np.ndarray:
-    """64-bit SimHashes: one hash table and sums of bit rows for a batch of texts; no words give 0."""
+#: Characters of texts whose words are held at once.
+CHUNK_CHARS = 1_000_000
+
+
+def chunks(texts: list[str | None], most: int) -> Iterator[list[str | None]]:
+    """The texts in order, in runs of about `most` characters."""
+    lo = size = 0
+    for hi, t in enumerate(texts, 1):
+        size += len(t or "") + 1
+        if size >= most or hi == len(texts):
+            yield texts[lo:hi]
+            lo, size = hi, 0
+
+
+def simhashes(texts: list[str | None], hashed: Callable[[list[bytes]], np.ndarray], most: int = CHUNK_CHARS) -> np.ndarray:
+    """64-bit SimHashes; words are held for a run of texts at a time, whatever the batch.  No words give 0."""
+    return np.concatenate([np.zeros(0, np.int64), *[_simhashes(c, hashed) for c in chunks(texts, most)]])
+
+
+def _simhashes(texts: list[str | None], hashed: Callable[[list[bytes]], np.ndarray]) -> np.ndarray:
+    """One hash table and sums of bit rows for a run of texts."""
     words = [_folded_words(t) for t in texts]
     out = np.zeros(len(texts), np.int64)
     known = sorted({w for ws in words for w in ws})

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from storyloom.functions import enrich as E
+from storyloom.functions import hashes as H
 from storyloom.functions import language as L
 from storyloom.functions import pages as P
+from storyloom.functions import text as T
 from storyloom.operators import clustering as C
+from storyloom.operators.addresses import flagged
 
 
 def plan(df) -> str:
@@ -59,3 +62,24 @@ def test_blocks_are_bounded_and_met_in_tiles(spark):
     schema = "id bigint, other bigint"
     assert sorted(map(tuple, C.blockwise(rows, rows, 1, run, schema, tile=7).collect())) == sorted(("m", a, b) for a in range(100) for b in range(100))
     assert sorted(map(tuple, C.blockwise(rows, rows, 1, run, schema, last, tile=7).collect())) == sorted(("m", a, b) for a in range(100) for b in (98, 99))
+
+
+def test_near_flags_broadcast_nothing(spark):
+    """Sides that grow with the input meet in shuffles, even where small ones would fit a broadcast."""
+    run = spark.createDataFrame([(1, 7), (2, 0), (3, 6), (4, 1 << 40 | 255 << 20)], "id bigint, h bigint")
+    out = flagged(run, spark.createDataFrame([(9, 1 << 40 | 255 << 20, 5)], "id bigint, h bigint, at bigint"))
+    assert {r.id: r.near for r in out.collect()} == {1: False, 2: False, 3: True, 4: True}
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_simhash_holds_words_of_a_run():
+    """The words of a large batch are never held together; hashes are those of each text alone."""
+    texts, held = [f"word{k} and word{k + 1} " * 20 if k % 7 else None for k in range(400)], []
+
+    def hashed(words):
+        held.append(len(words))
+        return H.sha_heads(words)
+
+    got = T.simhashes(texts, hashed, 5_000)
+    assert max(held) < 50 and list(got) == [int(T.simhashes([t], H.sha_heads)[0]) for t in texts]
+    assert len(T.simhashes([], H.sha_heads)) == 0
