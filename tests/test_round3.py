@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import threading
+
+import pytest
 from pyspark.sql import functions as F
 
 from storyloom.functions import enrich as E
@@ -10,6 +13,7 @@ from storyloom.functions import language as L
 from storyloom.functions import pages as P
 from storyloom.functions import text as T
 from storyloom.operators import clustering as C
+from storyloom.operators import heads
 from storyloom.operators.addresses import flagged
 
 
@@ -83,3 +87,11 @@ def test_simhash_holds_words_of_a_run():
     got = T.simhashes(texts, hashed, 5_000)
     assert max(held) < 50 and list(got) == [int(T.simhashes([t], H.sha_heads)[0]) for t in texts]
     assert len(T.simhashes([], H.sha_heads)) == 0
+
+
+def test_fits_run_together():
+    """Jobs that do not wait for each other start together, their results stay in order, and an error is raised."""
+    gate = threading.Barrier(heads.FOLDS, timeout=20)
+    assert heads.together([lambda k=k: (gate.wait(), k)[1] for k in range(heads.FOLDS)]) == list(range(heads.FOLDS))
+    with pytest.raises(ZeroDivisionError):
+        heads.together([lambda: 1 / 0])
